@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from tillstream.queries.registry import LIVE, SCORED, money_sum, query, rounded
 from tillstream.session import scratch_path
 from tillstream.sources import codecs
-from tillstream.sources.datasets import raw_anomalies, scored_transactions, table, transactions_from_events
+from tillstream.sources.datasets import raw_anomalies, scored_transactions, spread, table, transactions_from_events
 from tillstream.streaming import feeds, jobs
 
 
 def event_feed(spark, sf):
     """The events table as a stream of its own rows."""
     schema = table(spark, sf, "events").schema
-    return feeds.parquet_feed(spark, sf, schema, pattern="events.parquet")
+    feed = feeds.parquet_feed(spark, sf, schema, pattern="events.parquet")
+    return spread(feed, f"{sf}/events.parquet", "event_id")
 
 
 def topic_feed(spark, sf):

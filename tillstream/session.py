@@ -23,6 +23,7 @@ def local_session(cores: int | str = 8, name: str = "tillstream", **extra: str)
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
     )
@@ -40,6 +41,17 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path itself."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def is_single_file(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at) and fs.getFileStatus(at).isFile()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster shares (`spark.checkpoint.dir`).
 

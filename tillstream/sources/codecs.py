@@ -13,10 +13,15 @@ _CORRUPT = "_corrupt"
 
 
 def decode_json(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """Input columns plus `record` (the typed struct) and `_corrupt` (the text, if malformed)."""
+    """Input columns plus `record` (the typed struct) and `_corrupt` (the text, if malformed).
+
+    The text is parsed in a generator: filters on the fields stay above it, so each text is parsed
+    once. As a plain column the parser would be copied into every filter and field that uses it.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = df.withColumn("_parsed", F.from_json(F.col(column), with_corrupt, options))
+    parser = F.from_json(F.col(column), with_corrupt, options).alias("_parsed")
+    parsed = df.select(*df.columns, F.inline(F.array(F.struct(parser))))
     record = F.struct(*[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields])
     # An empty or NULL text parses to NULL or to a record without any field.
     empty = F.col(column).isNull() | (F.trim(F.col(column)) == "")

@@ -13,6 +13,7 @@ from tillstream.functions.money import cents
 from tillstream.functions.scalars import hashed_id
 from tillstream.operators.running import running_zscore
 from tillstream.schemas import CURRENCIES, MERCHANT_CATEGORIES, PAYMENT_METHODS, STATUSES
+from tillstream.session import is_single_file
 
 #: "now" for each dataset, just after its last row
 EVENTS_AS_OF = "2024-01-31"
@@ -26,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, path: str, *columns: str) -> DataFrame:
+    """A table that is one single file is read by few tasks (one per row group); hash its rows over
+    all cores before the per-row work. Tables of many files are left as they are."""
+    spark = df.sparkSession
+    if is_single_file(spark, path):
+        return df.repartition(spark.sparkContext.defaultParallelism, *columns)
+    return df
+
+
 def _pick(values: list[str], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (position % len(values) + 1).cast("int"))
 
@@ -57,7 +67,8 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
 
 
 def live_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
+    return transactions_from_events(spread(events, f"{sf_dir}/events.parquet", "event_id"))
 
 
 def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +88,8 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_linestatus") == "F", STATUSES[1])
         .otherwise(STATUSES[2])
     )
-    return table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem")
+    return spread(items, f"{sf_dir}/lineitem.parquet", "l_orderkey", "l_linenumber").select(
         F.concat_ws("-", order, line).alias("txn_id"),
         _padded("user_", part, 6).alias("user_id"),
         F.col("l_extendedprice").alias("amount"),

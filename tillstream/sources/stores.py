@@ -15,20 +15,15 @@ from pyspark.sql import functions as F
 from tillstream.functions.times import AsOf, as_of_column, shift, within_lookback
 from tillstream.operators.dedup import deduplicate
 from tillstream.operators.joins import orphans
-from tillstream.session import scratch_path
+from tillstream.session import file_system, scratch_path
 
 DAY = "event_date"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
-
-
 def has_table(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds at least one data partition or file."""
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     return fs.exists(folder) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder))
 
 
@@ -160,7 +155,7 @@ def purge(spark: SparkSession, path: str, as_of: AsOf, days: int = 90, time: str
     for day in (r[DAY] for r in by_day if r["old"] < r["rows"]):
         write_by_day(stored.where((F.col(DAY) == F.lit(day)) & ~old), path, "overwrite")
     for day in (r[DAY] for r in by_day if r["old"] == r["rows"]):
-        fs, folder = _file_system(spark, f"{path}/{DAY}={day.isoformat()}")
+        fs, folder = file_system(spark, f"{path}/{DAY}={day.isoformat()}")
         fs.delete(folder, True)
     return sum(r["old"] for r in by_day)
 
@@ -183,7 +178,7 @@ def remove_orphans(
     emptied = set(touched) - set(_days(kept))
     write_by_day(kept, path, "overwrite")
     for day in emptied:
-        fs, folder = _file_system(spark, f"{path}/{DAY}={day.isoformat()}")
+        fs, folder = file_system(spark, f"{path}/{DAY}={day.isoformat()}")
         fs.delete(folder, True)
     return removed
 

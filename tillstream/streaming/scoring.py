@@ -6,11 +6,14 @@ rows no score can exceed (n - 1) / sqrt(n): nothing is flagged before a key's 11
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -19,6 +22,9 @@ from tillstream.schemas import SCORE_FIELDS
 
 STATE = "n long, mean double, m2 double"
 
+# The state function travels with its helpers, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _round_steady(x: np.ndarray, places: int) -> np.ndarray:
     scale = 10.0**places
@@ -44,6 +50,35 @@ def running_scores(values: np.ndarray, n0: int, mean0: float, m20: float, thresh
     return n, _round_steady(mean, 2), _round_steady(z, 4), np.abs(z) > threshold, moments
 
 
+def _plain_columns(df: DataFrame) -> DataFrame:
+    """Timestamps as microseconds and structs as separate columns: both are slow to turn into
+    pandas objects and the state function only sorts by them or hands them on."""
+    cells = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.TimestampType):
+            cells.append(F.unix_micros(f.name).alias(f.name))
+        elif isinstance(f.dataType, T.StructType):
+            cells += [F.col(f.name).getField(g.name).alias(f"{f.name}__{g.name}") for g in f.dataType.fields]
+        else:
+            cells.append(F.col(f.name))
+    return df.select(*cells)
+
+
+def _typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Back to the columns of `schema`; a struct whose fields are all NULL becomes NULL."""
+    cells = []
+    for f in schema.fields:
+        if isinstance(f.dataType, T.TimestampType):
+            cells.append(F.timestamp_micros(f.name).alias(f.name))
+        elif isinstance(f.dataType, T.StructType):
+            parts = [F.col(f"{f.name}__{g.name}").alias(g.name) for g in f.dataType.fields]
+            empty = F.forall(F.array(*[p.isNull() for p in parts]), lambda missing: missing)
+            cells.append(F.when(~empty, F.struct(*parts)).alias(f.name))
+        else:
+            cells.append(F.col(f.name))
+    return df.select(*cells, *[g.name for g in SCORE_FIELDS])
+
+
 def score_stream(
     stream: DataFrame,
     key: str = "user_id",
@@ -58,8 +93,9 @@ def score_stream(
     Late rows are scored when they arrive. A missing value counts as 0. State never expires unless
     `ttl_ms` (idle processing time) is set. The source's rate limit bounds a key's rows per batch.
     """
-    names = stream.columns
-    output = T.StructType([*stream.schema.fields, *SCORE_FIELDS])
+    plain = _plain_columns(stream)
+    names = plain.columns
+    output = T.StructType([*plain.schema.fields, *SCORE_FIELDS])
     score_names = [f.name for f in SCORE_FIELDS]
     sort_keys = list(order)
 
@@ -67,7 +103,10 @@ def score_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values(sort_keys, kind="stable", ignore_index=True)
+        rows = pd.concat(list(chunks), ignore_index=True)
+        # Later sort keys only matter where the first one repeats.
+        by = sort_keys if rows[sort_keys[0]].duplicated().any() else sort_keys[:1]
+        rows = rows.sort_values(by, kind="stable", ignore_index=True)
         moments = state.get if state.exists else (0, 0.0, 0.0)
         values = rows[value].fillna(0.0).to_numpy(dtype="float64")
         *scores, moments = running_scores(values, *moments, threshold)
@@ -77,4 +116,5 @@ def score_stream(
         yield rows[names].assign(**dict(zip(score_names, scores)))
 
     timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return stream.groupBy(key).applyInPandasWithState(update, output, STATE, "append", timeout)
+    scored = plain.groupBy(key).applyInPandasWithState(update, output, STATE, "append", timeout)
+    return _typed_columns(scored, stream.schema)
