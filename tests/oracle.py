@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import math
+import os
 import pathlib
 import sys
 import time
@@ -20,7 +21,12 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = bool(os.environ.get("EXACT"))
+
+
 def _cell(x):
+    if EXACT:  # every bit and every type
+        return None if x is None else repr(x)
     if x is None or (isinstance(x, float) and math.isnan(x)):
         return None
     if isinstance(x, bool):

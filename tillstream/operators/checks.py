@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.times import AsOf, as_of_column, shift
 from tillstream.operators.joins import group_counts, unmatched_keys
-from tillstream.operators.ordered import HOT_ROWS, largest_group, with_neighbour
+from tillstream.operators.ordered import HOT_ROWS, measured, with_neighbour
 from tillstream.operators.reshape import filtered_columns, symmetric_except
 
 
@@ -216,8 +216,8 @@ def mutually_exclusive_ranges(
     counted = bounds.groupBy(*keys, "lower_bound", "upper_bound").agg(F.count("*").alias("n_rows"))
     order = [*keys, "lower_bound", "_no_upper", "upper_bound"]
     rows = counted.where(F.col("lower_bound").isNotNull()).withColumn("_no_upper", F.col("upper_bound").isNull())
-    size = largest_group(df, keys)
-    rows = with_neighbour(rows, order, 1, "_next", within=keys, hot_rows=hot_rows, group_rows=size)
+    size = measured(df, keys)
+    rows = with_neighbour(rows, order, 1, "_next", within=keys, hot_rows=hot_rows, size=size)
 
     after = F.col("_next.lower_bound")
     last = F.when(after == F.col("lower_bound"), 0).otherwise(1).cast("bigint")
@@ -251,9 +251,9 @@ def sequential_values(
     """
     keys = list(group_by)
     counted = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("n_rows"))
-    size = largest_group(df, keys)
+    size = measured(df, keys)
     order = [*keys, column]
-    rows = with_neighbour(counted, order, -1, "_prev", within=keys, hot_rows=hot_rows, group_rows=size)
+    rows = with_neighbour(counted, order, -1, "_prev", within=keys, hot_rows=hot_rows, size=size)
     copies = F.array(
         F.struct(F.col("_prev").getField(column).alias("previous"), F.lit(1).cast("bigint").alias("n")),
         F.struct(F.col(column).alias("previous"), (F.col("n_rows") - 1).alias("n")),

@@ -9,8 +9,9 @@ they are read twice, and range bounds come from sampling.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstream.session import pinned
@@ -19,18 +20,31 @@ from tillstream.session import pinned
 HOT_ROWS = 20_000_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest group; without keys, of the whole table."""
+class Size(NamedTuple):
+    rows: int
+    largest_group: int
+
+
+def measured(df: DataFrame, keys: Sequence[str]) -> Size:
+    """Rows in all and in the largest group; without keys the table is one group. Reads only the
+    keys, and only file metadata without them."""
     if not keys:
-        return df.count()
+        rows = df.count()
+        return Size(rows, rows)
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    rows, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    return Size(rows or 0, largest or 0)
+
+
+def slices_for(spark: SparkSession, rows: int, hot_rows: int) -> int:
+    """Enough slices that each holds about `hot_rows` at most, and never fewer than the shuffle uses."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, -(-rows // hot_rows) if hot_rows else usual)
 
 
-def sorted_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
+def sorted_slices(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
     """Rows with a `_slice` number; every row of a slice sorts before all rows of the next."""
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order)
+    ranged = df.repartitionByRange(slices, *order)
     return pinned(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
@@ -41,14 +55,14 @@ def with_neighbour(
     name: str,
     within: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
-    group_rows: int | None = None,
+    size: Size | None = None,
     slices: int | None = None,
 ) -> DataFrame:
     """Add `name`: the `order` columns of the next (+1) or previous (-1) row as a struct.
 
     `within` must lead `order`; the neighbour is NULL where it lies in another group. The order
-    must be unique, and its columns sort ascending with NULLs first. `group_rows` is a known upper
-    bound on the largest group, counted here when not given; above `hot_rows` the order is sliced.
+    must be unique, and its columns sort ascending with NULLs first. `size` is a known upper
+    bound, measured here when not given; a group above `hot_rows` makes the order sliced.
     """
     if offset not in (-1, 1):
         raise ValueError("offset must be 1 or -1")
@@ -57,11 +71,12 @@ def with_neighbour(
     step = F.lead if offset == 1 else F.lag
     row = F.struct(*order)
 
-    if (largest_group(df, within) if group_rows is None else group_rows) <= hot_rows:
+    size = measured(df, within) if size is None else size
+    if size.largest_group <= hot_rows:
         groups = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
         return df.withColumn(name, step(row).over(groups.orderBy(*order)))
 
-    sliced = sorted_slices(df, order, slices)
+    sliced = sorted_slices(df, order, slices or slices_for(df.sparkSession, size.rows, hot_rows))
     local = sliced.withColumn("_near", step(row).over(Window.partitionBy("_slice").orderBy(*order)))
     # One row per slice: the number of slices bounds both the single window task and the broadcast.
     edge_row = F.min(row) if offset == 1 else F.max(row)

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from tillstream.functions.times import check_datepart
 
 
+#: longest list of values taken to the driver, as in Spark's own pivot
+MAX_VALUES = 10_000
+
+
 def _lower(names: Sequence[str]) -> set[str]:
     return {n.lower() for n in names}
 
@@ -106,7 +110,7 @@ def pivot_columns(
 def pivot(df: DataFrame, group_by: Sequence[str], column: str, values: Sequence | None = None, **options) -> DataFrame:
     """`pivot_columns` grouped; without `values` they are looked up (most frequent first)."""
     if values is None:
-        values = [r[0] for r in column_values(df, column).collect()]
+        values = bounded_values(column_values(df, column))
     return df.groupBy(*group_by).agg(*pivot_columns(column, values, **options))
 
 
@@ -124,13 +128,21 @@ def column_values(
     return ordered if max_records is None else ordered.limit(max_records)
 
 
+def bounded_values(values: DataFrame, most: int = MAX_VALUES) -> list:
+    """First column as a list; more than `most` values is an error, not a cut."""
+    found = [r[0] for r in values.limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values; use the DataFrame itself")
+    return found
+
+
 def table_column_values(spark: SparkSession, table: str, column: str, default=None, **options) -> list:
     """`column_values` of a catalog table as a list; `default` if the table is missing or empty."""
     if not spark.catalog.tableExists(table):
         if default is None:
             raise ValueError(f"table {table} does not exist and no default was given")
         return default
-    return [r[0] for r in column_values(spark.table(table), column, **options).collect()] or default
+    return bounded_values(column_values(spark.table(table), column, **options)) or default
 
 
 def single_value(df: DataFrame, default=None):
@@ -139,7 +151,7 @@ def single_value(df: DataFrame, default=None):
     return default if row is None else row[0]
 
 
-def results_as_dict(df: DataFrame, max_rows: int = 10_000) -> dict[str, tuple]:
+def results_as_dict(df: DataFrame, max_rows: int = MAX_VALUES) -> dict[str, tuple]:
     """Columns as tuples, for small lookup results; a larger result is an error, not a cut."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.money import round_steady
-from tillstream.operators.ordered import HOT_ROWS, sorted_slices
+from tillstream.operators.ordered import HOT_ROWS, slices_for, sorted_slices
 
 #: largest list of hot keys that is broadcast; beyond it the key join shuffles
 MAX_BROADCAST_KEYS = 100_000
@@ -39,7 +39,7 @@ def _plain(df: DataFrame, key: str, order: Sequence[str], columns: list[str], th
 
 
 def _sliced(
-    df: DataFrame, key: str, order: Sequence[str], columns: list[str], threshold: float, slices: int | None
+    df: DataFrame, key: str, order: Sequence[str], columns: list[str], threshold: float, slices: int
 ) -> DataFrame:
     """Window inside each slice, then add the moments of the key's earlier slices."""
     rows = sorted_slices(df, [key, *order], slices)
@@ -98,12 +98,18 @@ def running_zscore(
     columns = list(df.columns)
     rows = df.withColumn("_value", F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
     counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows).select("_hot")
+    hot = counts.where(F.col("_rows") > hot_rows)
     found = hot.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
         return _plain(rows, key, order, columns, threshold)
+    spark = df.sparkSession
     if len(found) <= MAX_BROADCAST_KEYS:
-        hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+        hot_total = sum(r["_rows"] for r in found)
+        hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+    else:
+        hot_total = hot.agg(F.sum("_rows")).first()[0]
+    hot = hot.drop("_rows")
+    slices = slices or slices_for(spark, hot_total, hot_rows)
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     cold_rows, hot_part = rows.join(hot, is_hot, "left_anti"), rows.join(hot, is_hot, "left_semi")
     return _plain(cold_rows, key, order, columns, threshold).unionByName(

@@ -17,6 +17,15 @@ SQL_SETTINGS = {
 }
 
 
+#: keyed stream state on disk with change logs, so it may outgrow executor memory
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def local_session(cores: int | str = 8, name: str = "tillstream", **extra: str) -> SparkSession:
     """A session on this machine, for tests and benchmarks."""
     builder = (
@@ -34,6 +43,14 @@ def local_session(cores: int | str = 8, name: str = "tillstream", **extra: str)
     return spark
 
 
+def apply_state_settings(spark: SparkSession) -> None:
+    """State backend for new queries, unless the session names one itself."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider, None) is None:
+        for key, value in STATE_SETTINGS.items():
+            spark.conf.set(key, value)
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in SQL_SETTINGS.items():
         if spark.conf.get(key, None) != value:

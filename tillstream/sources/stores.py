@@ -18,6 +18,8 @@ from tillstream.operators.joins import orphans
 from tillstream.session import file_system, scratch_path
 
 DAY = "event_date"
+#: most ids of a batch that are broadcast
+MAX_BROADCAST_IDS = 500_000
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -65,10 +67,19 @@ def append_dedup(
         stored = spark.read.parquet(path)
         if not whole_table:
             stored = stored.where(F.col(DAY).isin(_days(keyed)))
-        fresh = fresh.join(stored.select(key).distinct(), key, "left_anti")
+        fresh = fresh.join(_known_ids(stored, fresh, key), key, "left_anti")
     write_by_day(fresh, path)
 
 
+def _known_ids(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The batch's ids that are stored already. A batch of few ids is sent to the scan of the id
+    column, so the stored table is not shuffled."""
+    ids = batch.select(key)
+    if ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return stored.select(key).join(ids, key, "left_semi").distinct()
+
+
 def latest_per_key(batch: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
     """One row per key; each field takes its last non-null value by arrival."""
     fields = [c for c in batch.columns if c not in (*keys, arrival)]

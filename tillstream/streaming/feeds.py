@@ -7,9 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-#: rows or files per micro-batch; bounds what one key can bring to one task at a time
-MAX_OFFSETS = 2_000_000
-MAX_FILES = 200
+#: rows and bytes per micro-batch; they bound what one key can bring to one task at a time
+MAX_OFFSETS = 1_000_000
+MAX_BYTES = 1 << 30
+
+
+def _limited(reader, max_files: int | None, max_bytes: int | None):
+    """The file source takes one kind of limit: a number of files if given, else bytes."""
+    if max_files is not None:
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes or MAX_BYTES)
 
 
 def kafka_feed(
@@ -33,15 +40,20 @@ def kafka_feed(
     return reader.load().selectExpr("topic", "cast(value as string) as value")
 
 
-def text_feed(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
+def text_feed(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """`value` per line of the text files in a folder, oldest file first."""
-    return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+    return _limited(spark.readStream, max_files, max_bytes).text(path)
 
 
 def parquet_feed(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int = MAX_FILES, pattern: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    pattern: str | None = None,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    reader = _limited(spark.readStream.schema(schema), max_files, max_bytes)
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).parquet(path)
 
 

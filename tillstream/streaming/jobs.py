@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillstream.session import apply_state_settings
 from tillstream.sources import codecs
 from tillstream.sources.stores import append_dedup, upsert_by_key
 from tillstream.streaming.feeds import by_topic
@@ -22,6 +23,7 @@ EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 
 
 def _start(df: DataFrame, write, checkpoint: str, trigger: dict) -> StreamingQuery:
+    apply_state_settings(df.sparkSession)
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
