@@ -10,7 +10,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tillstream.operators.ordered import with_neighbour
+from pyspark.sql import functions as F
+
+from tillstream.operators.ordered import sorted_slices, with_neighbour
 from tillstream.operators.running import running_zscore
 from tillstream.streaming.scoring import running_scores
 
@@ -104,6 +106,22 @@ def test_forms_agree(spark, hot_rows):
         assert got[txn][1] == pytest.approx(mean, abs=1e-9) and got[txn][2] == pytest.approx(z, abs=1e-9)
 
 
+def test_copies_are_spread_and_counted(spark):
+    """Most rows are copies of one event; each copy is scored, and they do not share one slice."""
+    stamp = dt.datetime(2024, 1, 1)
+    rows = [("a", "u", stamp, 10.0)] * 20 + [("b", "u", stamp, 30.0)] * 400 + [("c", "u", stamp, 10.0)] * 20
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    n, mean, z, flag, _ = scored([r[3] for r in rows])
+    out = running_zscore(df, hot_rows=50, slices=8).select(*SCORES).collect()
+    got = sorted((r.user_txn_count, r.txn_id, r.user_running_mean, r.z_score, r.is_anomaly) for r in out)
+    assert [g[:2] for g in got] == [(i + 1, r[0]) for i, r in enumerate(rows)]
+    assert np.allclose([g[2] for g in got], mean) and np.allclose([g[3] for g in got], z, atol=1e-9)
+    assert [g[4] for g in got] == flag.tolist()
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    per_slice = sorted_slices(numbered, ["user_id", "timestamp", "txn_id", "_row"], 8).groupBy("_slice").count()
+    assert max(r["count"] for r in per_slice.collect()) < 200
+
+
 @pytest.mark.parametrize("offset", [1, -1])
 @pytest.mark.parametrize("within", [["g"], []])
 def test_neighbours(spark, offset, within):

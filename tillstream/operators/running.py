@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.money import round_steady
 from tillstream.operators.ordered import HOT_ROWS, slices_for, sorted_slices
+from tillstream.session import pinned
 
 #: largest list of hot keys that is broadcast; beyond it the key join shuffles
 MAX_BROADCAST_KEYS = 100_000
@@ -41,8 +42,13 @@ def _plain(df: DataFrame, key: str, order: Sequence[str], columns: list[str], th
 def _sliced(
     df: DataFrame, key: str, order: Sequence[str], columns: list[str], threshold: float, slices: int
 ) -> DataFrame:
-    """Window inside each slice, then add the moments of the key's earlier slices."""
-    rows = sorted_slices(df, [key, *order], slices)
+    """Window inside each slice, then add the moments of the key's earlier slices.
+
+    Copies of one row would all sort into one slice, so every row gets a number first. The numbered
+    rows are pinned: a rerun task must not number them differently.
+    """
+    order = [*order, "_row"]
+    rows = sorted_slices(pinned(df.withColumn("_row", F.monotonically_increasing_id())), [key, *order], slices)
     totals = rows.groupBy(key, "_slice").agg(
         F.count("*").alias("n"), F.avg("_value").alias("mean"), F.var_pop("_value").alias("var")
     )

@@ -197,7 +197,7 @@ def _(spark, sf):
 
 # ---- serving -------------------------------------------------------------------------------
 
-_USER = "user_000149"
+_USER = "user_000007"
 _USER_ROWS = f"""{LIVE}, mine as (select * from live where user_id = '{_USER}'
   and "timestamp" >= {EVENTS_NOW} - interval 30 day)"""
 
@@ -210,7 +210,7 @@ def _mine(spark, sf):
     "a11_user_stats",
     f"""with {_USER_ROWS} select count(*) as total_transactions, coalesce({money_sum("amount")}, 0) as total_spend,
                coalesce({rounded(f"{money_sum('amount')} / nullif(count(*), 0)", 2)}, 0) as avg_transaction,
-               array_to_string(list_sort(list(distinct currency)), ',') as currencies from mine""",
+               coalesce(array_to_string(list_sort(list(distinct currency)), ','), '') as currencies from mine""",
 )
 def _(spark, sf):
     return serving.user_stats(_mine(spark, sf)).withColumn("currencies", F.array_join("currencies", ","))

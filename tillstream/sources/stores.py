@@ -127,12 +127,13 @@ def export_snapshot(
     """Recent rows as Parquet in a fixed schema, sorted by time across and inside the files.
 
     `location` is flattened if present; columns that are missing become NULL, others are left out.
+    A row hash takes part in the ranges, so a time shared by many rows is split over several files.
     """
     if "location" in df.columns:
         df = df.withColumns({"location_lat": F.col("location.lat"), "location_lon": F.col("location.lon")})
-    snapshot_projection(df, schema, as_of, lookback_days, time).repartitionByRange(time).sortWithinPartitions(
-        time
-    ).write.mode("overwrite").option("compression", "snappy").parquet(path)
+    rows = snapshot_projection(df, schema, as_of, lookback_days, time)
+    ranged = rows.repartitionByRange(F.col(time), F.xxhash64(*rows.columns)).sortWithinPartitions(time)
+    ranged.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def snapshot_projection(df: DataFrame, schema: str, as_of: AsOf, lookback_days: int = 90, time: str = "timestamp"):

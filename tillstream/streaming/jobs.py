@@ -91,9 +91,11 @@ def store_scored(
     leaving out ids that are already stored."""
 
     def write(batch: DataFrame, _batch_id: int) -> None:
+        batch.persist()  # read once for all topics; lost blocks are read from the source again
         for topic, path in routes.items():
             rows, _ = codecs.decode_enriched(by_topic(batch, topic).select("value"))
             append_dedup(rows, path)
+        batch.unpersist()
 
     return _start(feed, write, checkpoint, trigger)
 
@@ -102,8 +104,10 @@ def store_daily(text: DataFrame, path: str, checkpoint: str, trigger: dict = DRA
     """Daily-spend JSON to the keyed table; a later record replaces an earlier one."""
 
     def write(batch: DataFrame, _batch_id: int) -> None:
+        batch.persist()
         rows, _ = codecs.decode_daily(batch)
         arrived = rows.withColumn("_arrival", F.monotonically_increasing_id())
         upsert_by_key(arrived, path, ["user_id", "window_start"], "window_start", "_arrival")
+        batch.unpersist()
 
     return _start(text, write, checkpoint, trigger)
