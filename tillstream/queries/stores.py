@@ -6,19 +6,12 @@ from pyspark.sql import functions as F
 
 from tillstream.plans import marts
 from tillstream.plans.staging import approved_only
-from tillstream.queries.registry import EVENTS_NOW, HISTORY, HISTORY_NOW, LIVE, SCORED, STAGED, money_sum, query
+from tillstream.queries.registry import EVENTS_NOW, LIVE, SCORED, STAGED, money_sum, query
 from tillstream.queries.rows import staged_history
 from tillstream.schemas import SNAPSHOT_TRANSACTIONS
 from tillstream.session import scratch_path
 from tillstream.sources import stores
-from tillstream.sources.datasets import (
-    EVENTS_AS_OF,
-    HISTORY_AS_OF,
-    live_transactions,
-    raw_anomalies,
-    raw_history,
-    table,
-)
+from tillstream.sources.datasets import EVENTS_AS_OF, live_transactions, raw_anomalies, table
 from tillstream.streaming.windows import spend_windows
 
 _SPEND = f"""(select user_id, date_trunc('day', "timestamp") as window_start, count(*) as txn_count,
@@ -65,9 +58,6 @@ def _(spark, sf):
     return stores.read_by_day(spark, path)
 
 
-_SNAPSHOT = "txn_id, user_id, amount, currency, \"timestamp\", status, location_lat, user_txn_count, z_score"
-
-
 @query(
     "s11_export_snapshot",
     f"""with {LIVE} select txn_id, user_id, amount, currency, "timestamp", status, location_lat,
@@ -96,24 +86,20 @@ def _(spark, sf):
 
 @query(
     "m1_purge",
-    f"""with {HISTORY}, cut as (select {HISTORY_NOW} - interval 400 day + interval 9 hour as t)
-        select 'kept' as part, count(*) as n_rows, min("timestamp") as oldest from history, cut where "timestamp" >= t
-        union all select 'purged', count(*), null from history, cut where "timestamp" < t""",
+    f"""with {LIVE}, cut as (select {EVENTS_NOW} - interval 10 day + interval 9 hour as t)
+        select 'kept' as part, count(*) as n_rows, min("timestamp") as oldest from live, cut where "timestamp" >= t
+        union all select 'purged', count(*), null from live, cut where "timestamp" < t""",
 )
 def _(spark, sf):
     """The cut falls inside a day, so that day is rewritten and the older ones are dropped."""
     path = scratch_path(spark, "purge")
-    rows = raw_history(spark, sf).withColumn("event_date", F.date_trunc("month", "timestamp").cast("date"))
-    # Days with few rows would make thousands of folders here; older rows share their month's.
-    cut = F.lit("2000-09-30").cast("date")
-    day = F.to_date("timestamp")
-    stores.write_by_day(rows.withColumn("event_date", F.when(day >= cut, day).otherwise(F.col("event_date"))), path)
-    purged = stores.purge(spark, path, F.lit(f"{HISTORY_AS_OF} 09:00:00"), days=400)
+    rows = live_transactions(spark, sf).select("txn_id", "timestamp")
+    stores.write_by_day(rows.withColumn("event_date", F.to_date("timestamp")), path)
+    purged = stores.purge(spark, path, f"{EVENTS_AS_OF} 09:00:00", days=10)
     kept = stores.read_by_day(spark, path)
-    counts = kept.agg(F.lit("kept").alias("part"), F.count("*").alias("n_rows"), F.min("timestamp").alias("oldest"))
-    report = kept.limit(0).agg(
-        F.lit("purged").alias("part"), F.lit(purged).cast("bigint").alias("n_rows"), F.min("timestamp").alias("oldest")
-    )
+    oldest = F.min("timestamp").alias("oldest")
+    counts = kept.agg(F.lit("kept").alias("part"), F.count("*").alias("n_rows"), oldest)
+    report = kept.limit(0).agg(F.lit("purged").alias("part"), F.lit(purged).cast("bigint").alias("n_rows"), oldest)
     return counts.unionAll(report)
 
 
@@ -145,11 +131,11 @@ def _(spark, sf):
         from live group by 1""",
 )
 def _(spark, sf):
-    """Six appends of the live rows leave several files per day; compaction leaves one."""
-    path, rows = scratch_path(spark, "compact"), live_transactions(spark, sf).select("txn_id", "timestamp", "payment_method")
-    for part in ("credit_card", "debit_card", "e_transfer", "apple_pay", "google_pay"):
-        day = rows.withColumn("event_date", F.to_date("timestamp"))
-        stores.write_by_day(day.where(F.col("payment_method") == part), path)
+    """Two appends leave several files per day; compaction leaves one."""
+    path, rows = scratch_path(spark, "compact"), live_transactions(spark, sf).select("txn_id", "timestamp", "status")
+    days = rows.withColumn("event_date", F.to_date("timestamp"))
+    for part in ("status = 'approved'", "status <> 'approved'"):
+        stores.write_by_day(days.where(part), path)
     stores.compact(spark, path)
     files = spark.read.parquet(path).groupBy("event_date", "_metadata.file_path").agg(F.count("*").alias("n"))
     return files.groupBy("event_date").agg(

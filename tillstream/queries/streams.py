@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 from tillstream.queries.registry import LIVE, SCORED, money_sum, query, rounded
 from tillstream.session import scratch_path
 from tillstream.sources import codecs
-from tillstream.sources.datasets import raw_anomalies, scored_transactions, spread, table, transactions_from_events
+from tillstream.sources.datasets import (
+    live_transactions,
+    raw_anomalies,
+    scored_transactions,
+    spread,
+    table,
+    transactions_from_events,
+)
 from tillstream.streaming import feeds, jobs
+from tillstream.streaming.windows import spend_windows
 
 
 def event_feed(spark, sf):
@@ -152,9 +160,6 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Daily-spend JSON through its sink, sent twice."""
-    from tillstream.sources.datasets import live_transactions
-    from tillstream.streaming.windows import spend_windows
-
     root = scratch_path(spark, "spend")
     live = live_transactions(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     text = codecs.encode_daily(spend_windows(live)).select("value")
