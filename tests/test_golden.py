@@ -118,6 +118,14 @@ def test_event_time(spark):
     assert values(df, times.event_time("t").cast("timestamp_ntz")) == expected
 
 
+def test_points_in_time(spark):
+    aware = dt.datetime(2024, 1, 1, 7, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    points = ["2024-01-01 05:00:00", dt.datetime(2024, 1, 1, 5), aware, F.lit("2024-01-01 05:00:00")]
+    found = spark.range(1).select(*[times.as_of_column(p).alias(str(i)) for i, p in enumerate(points)]).first()
+    assert set(found) == {dt.datetime(2024, 1, 1, 5)}
+    assert spark.range(1).select(times.as_of_column(dt.date(2024, 1, 1))).first()[0] == dt.datetime(2024, 1, 1)
+
+
 def test_deduplicate(spark, rows):
     df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
     kept = dedup.deduplicate(df.where("user_id = 1"), "user_id", [F.col("version").desc()])

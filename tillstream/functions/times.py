@@ -14,7 +14,13 @@ DATE_PARTS = ("second", "minute", "hour", "day", "week", "month", "quarter", "ye
 
 
 def as_of_column(as_of: AsOf, like: str = "timestamp_ntz") -> Column:
-    return (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast(like)
+    """A point in time as a column. Python times go in as text, since a datetime literal would pass
+    through the zone of this machine; one with an offset is taken in UTC."""
+    if isinstance(as_of, Column):
+        return as_of.cast(like)
+    if isinstance(as_of, dt.datetime) and as_of.tzinfo is not None:
+        as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(as_of if isinstance(as_of, str) else as_of.isoformat()).cast(like)
 
 
 def check_datepart(datepart: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.functions.times import check_datepart
+from tillstream.functions.times import as_of_column, check_datepart
 
 
 #: longest list of values taken to the driver, as in Spark's own pivot
@@ -288,12 +288,12 @@ def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
 def date_spine(spark: SparkSession, datepart: str, start, end) -> DataFrame:
     """One row per date part from `start` up to but not including `end`, spread over tasks."""
     unit = check_datepart(datepart).upper()
-    as_time = [F.lit(x).cast("timestamp_ntz") for x in (start, end)]
+    as_time = [as_of_column(x) for x in (start, end)]
     # Boundaries crossed, like SQL datediff: both ends are cut to the date part first.
     cut = [F.date_trunc(datepart, x) for x in as_time]
     steps = spark.range(1).select(F.timestamp_diff(unit, *cut)).first()[0]
     name = f"date_{datepart}"
     spine = spark.range(max(steps, 0)).select(
-        F.timestamp_add(unit, F.col("id").cast("int"), F.lit(start).cast("timestamp_ntz")).alias(name)
+        F.timestamp_add(unit, F.col("id").cast("int"), as_time[0]).alias(name)
     )
     return spine.where(F.col(name) <= as_time[1])
