@@ -70,12 +70,13 @@ def user_trends(
 def user_trends_row(df: DataFrame, user_id: str, as_of: AsOf, days: int = 30, limit: int = 20) -> DataFrame:
     """The same answer as one nested row."""
     parts = user_trends(df, user_id, as_of, days, limit, cache=False)
-    lists = {"top_categories": parts["top_categories"], "recent_transactions": parts["recent_transactions"]}
-    out = parts["stats"].select(F.lit(user_id).alias("user_id"), F.lit(days).alias("period_days"), "*")
-    for name, rows in lists.items():  # at most 5 and 100 rows
-        packed = rows.agg(F.collect_list(F.struct("*")).alias(name))
-        out = out.withColumn("_one", F.lit(1)).join(packed.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return out
+    row = parts["stats"].select(F.lit(user_id).alias("user_id"), F.lit(days).alias("period_days"), "*")
+    columns = row.columns
+    for name in ("top_categories", "recent_transactions"):  # at most 5 and 100 rows
+        packed = parts[name].agg(F.collect_list(F.struct("*")).alias(name))
+        row = row.unionByName(packed, allowMissingColumns=True)
+        columns = [*columns, name]
+    return row.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
 
 
 def anomalies(
@@ -116,15 +117,16 @@ def top_merchants(df: DataFrame, as_of: AsOf, days: int = 30, limit: int = 10) -
 
 def kpis(df: DataFrame, anomaly_rows: DataFrame, as_of: AsOf, days: int) -> DataFrame:
     """One row: counts, revenue, average and anomaly count, zeros when there is nothing."""
-    zero = F.lit(0.0)
-    stats = lookback(df, as_of, days).agg(
-        F.count("*").alias("total_txns"),
+    zero, flagged = F.lit(0.0), F.col("flagged")
+    txns = lookback(df, as_of, days).select("amount", F.lit(False).alias("flagged"))
+    alerts = lookback(anomaly_rows, as_of, days)
+    alerts = alerts.select(F.lit(None).cast(df.schema["amount"].dataType).alias("amount"), F.lit(True).alias("flagged"))
+    return txns.unionAll(alerts).agg(
+        F.count_if(~flagged).alias("total_txns"),
         F.coalesce(money_sum("amount"), zero).alias("total_revenue"),
         F.coalesce(round_away(money_avg("amount"), 2), zero).alias("avg_amount"),
-        F.lit(1).alias("_one"),
+        F.count_if(flagged).alias("anomaly_count"),
     )
-    flagged = lookback(anomaly_rows, as_of, days).agg(F.count("*").alias("anomaly_count"), F.lit(1).alias("_one"))
-    return stats.join(flagged, "_one").drop("_one")
 
 
 def hourly_volume(df: DataFrame, as_of: AsOf, days: int) -> DataFrame:

@@ -355,15 +355,18 @@ def _(spark, sf):
 
 @query(
     "a13_duplicate_top",
-    f"""select l_orderkey, n_rows, surplus_rows, n_ids from
-          (select *, sum(n_rows - 1) over ()::bigint as surplus_rows, count(*) over () as n_ids from ({_REPEATED}))
-        order by n_rows desc, l_orderkey limit 10""",
+    f"""with repeated as ({_REPEATED})
+        select * from (select 'top' as part, l_orderkey, n_rows from repeated order by n_rows desc, l_orderkey limit 10)
+        union all select 'ids', null, count(*) from repeated
+        union all select 'surplus rows', null, coalesce(sum(n_rows - 1), 0)::bigint from repeated""",
 )
 def _(spark, sf):
-    """The ten most repeated ids beside the surplus over all of them."""
+    """The ten most repeated ids, and the totals over all of them."""
     found = _repeated(spark, sf)
-    top = quality.top_duplicates(found, key="l_orderkey").withColumn("_one", F.lit(1))
-    return top.join(quality.surplus_rows(found).withColumn("_one", F.lit(1)), "_one").drop("_one")
+    top = quality.top_duplicates(found, key="l_orderkey").select(F.lit("top").alias("part"), "l_orderkey", "n_rows")
+    totals = quality.surplus_rows(found).withColumnsRenamed({"n_ids": "ids", "surplus_rows": "surplus rows"})
+    totals = totals.unpivot([], ["ids", "surplus rows"], "part", "n_rows")
+    return top.unionAll(totals.select("part", F.lit(None).cast("bigint").alias("l_orderkey"), "n_rows"))
 
 
 @query(
