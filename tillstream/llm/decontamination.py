@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.registry import query, table
+from tillstream.llm.registry import normal_words, query, table
 from tillstream.llm.words import (
     pieces,
     rows_of_words,
@@ -42,11 +42,6 @@ BLOCK_WORDS = 1 << 20
 _FOUND = "doc_id long, item_id long, coverage double, n_item_words int, n_covered int, tiles array<struct<item_word:int,doc_word:int,words:int>>"
 
 
-def normal_words(text):
-    """Lower-cased letters and digits, one space between words."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", " "))
-
-
 # ---- tiling --------------------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ import functools
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.session import apply_settings, scratch_path
@@ -43,6 +43,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def normal_words(text: Column) -> Column:
+    """Lower-cased letters and digits, one space between words."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", " "))
+
+
 def parts_for(df: DataFrame, column: str, part_bytes: int) -> int:
     """How many parts hold about `part_bytes` of the column's bytes each, and at least one for every
     shuffle partition. One counting pass: a plan's own estimate is far off after joins."""
