@@ -7,9 +7,10 @@ document. Two registers agree with the probability Jaccard similarity of the doc
 
 Signatures are banded. Equal texts are one node. In a bucket no pairs are formed at first: each node is
 compared with the bucket's most popular node, which for copies of one original is the original
-(popularity: the sizes of all buckets a node is in). Verified links join nodes to components. Only
-buckets that still hold several components afterwards give pairs between different components, all
-of them, so no link is lost that banding can find. A link is verified on the whole texts.
+(popularity: the sizes of all buckets a node is in). Verified links join nodes to components. In buckets
+that still hold several components, the sketches of all nodes of different components are compared, block
+by block so that no task holds a hot bucket; only pairs whose sketches agree enough become rows. A link is
+verified on the whole texts.
 """
 
 from __future__ import annotations
@@ -38,6 +39,13 @@ from tillstream.llm.words import (
 WORDS, SIMILARITY = 5, 0.8
 #: bands and registers of a band: a pair at the least similarity is missed with probability 2.6e-5
 BANDS, ROWS = 20, 4
+#: registers of a signature, a prime; all of them, as one byte each, are the sketch that pairs are compared by
+REGISTERS = 479
+#: share of agreeing registers below which a pair is not verified: four standard deviations below the
+#: least similarity, so that a pair at that similarity is missed with probability 5e-5
+AGREEMENT = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
+#: nodes of a bucket that are compared within one task
+BLOCK = 4096
 
 
 # ---- weighted shingles and signatures ------------------------------------------------------
@@ -65,39 +73,46 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tuple[
     return rows[begin], hashes[begin], np.diff(begin, append=len(rows))
 
 
-def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int, registers: int = BANDS * ROWS) -> np.ndarray:
+def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
     """The shingle that holds each register of each of n texts; zeros for a text without shingles.
 
-    All texts take a step at once: each process that still runs has its next arrival, then ends if
-    that is no earlier than the latest register of its text.
+    All texts take a step at once: each process that still runs has its next arrival, then ends if that is
+    later than the latest register of its text. A shingle visits the registers without repeating one (a
+    random start and stride modulo the prime number of registers), so its k-th arrival is slower by
+    registers / (registers - k) and it ends after `registers` arrivals at the latest.
     """
-    earliest = np.full(n * registers, np.inf)
-    holder = np.zeros(n * registers, dtype=np.uint64)
-    time = np.zeros(len(row))
-    running = np.arange(len(row))
-    step = 0
-    while len(running):
-        step += 1
-        random = mixed(shingle[running] + np.uint64(step * 0x9E3779B97F4A7C15 % (1 << 64)))
+    earliest = np.full((n, registers), np.inf)
+    holder = np.zeros((n, registers), dtype=np.uint64)
+    flat, flat_holder = earliest.reshape(-1), holder.reshape(-1)
+    place = mixed(shingle ^ np.uint64(0xD1B54A32D192ED03))
+    register = (place % np.uint64(registers)).astype(np.int64)
+    stride = (mixed(place) % np.uint64(registers - 1)).astype(np.int64) + 1
+    running, time = np.arange(len(row)), np.zeros(len(row))
+    for step in range(registers):
+        if not len(running):
+            break
+        random = mixed(shingle[running] + np.uint64((step + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
         uniform = ((random >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
-        time[running] -= np.log(uniform) / weight[running]
-        register = mixed(random ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(registers)
-        place = row[running] * registers + register.astype(np.int64)
+        time[running] -= np.log(uniform) * (registers / (registers - step)) / weight[running]
         now = time[running]
-        np.minimum.at(earliest, place, now)
-        first = earliest[place] == now
-        holder[place[first]] = shingle[running[first]]
-        latest = earliest.reshape(n, registers).max(1)
-        running = running[now < latest[row[running]]]
-    return holder.reshape(n, registers)
-
-
-def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
+        at = row[running] * registers + register[running]
+        np.minimum.at(flat, at, now)
+        first = flat[at] == now
+        flat_holder[at[first]] = shingle[running[first]]
+        register[running] = (register[running] + stride[running]) % registers
+        # Rows ascend, so the texts that still run are found at the changes.
+        new = np.diff(row[running], prepend=-1) != 0
+        latest = earliest[row[running][new]].max(1)
+        running = running[now < latest[np.cumsum(new) - 1]]
+    return holder
+
+
+def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band, different for different bands."""
-    n, registers = signature.shape
-    parts = signature.reshape(n, bands, registers // bands)
+    n = len(signature)
+    parts = signature[:, : bands * rows].reshape(n, bands, rows)
     keys = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.zeros((n, 1), dtype=np.uint64)
-    for k in range(parts.shape[2]):
+    for k in range(rows):
         keys = mixed(keys ^ parts[:, :, k]) + np.uint64(k + 1)
     return keys
 
@@ -128,7 +143,7 @@ def _normal(docs: DataFrame) -> DataFrame:
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """doc_id, key (16 bytes that stand for the normalised text) and the keys of the bands."""
+    """doc_id, key (16 bytes that stand for the normalised text), the keys of the bands and the sketch."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,12 +152,15 @@ def sketched(rows: DataFrame) -> DataFrame:
                 part, places = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
                 n, raw = high - low, part.tobytes()
                 found = shingles(part, places)
-                keys = band_keys(signatures(*found, n)).astype(np.int64)
+                signature = signatures(*found, n)
+                keys = band_keys(signature).astype(np.int64)
+                sketches = [x.tobytes() for x in (signature >> np.uint64(56)).astype(np.uint8)]
                 texts = [hashlib.md5(raw[a:b]).digest() for a, b in zip(places, places[1:])]
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, n), pa.array(texts, pa.binary()), bands], names=["doc_id", "key", "bands"])
+                columns = [batch.column("doc_id").slice(low, n), pa.array(texts, pa.binary()), bands, pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "bands", "sketch"])
 
-    return rows.mapInArrow(sketch, "doc_id long, key binary, bands array<long>")
+    return rows.mapInArrow(sketch, "doc_id long, key binary, bands array<long>, sketch binary")
 
 
 # ---- links ---------------------------------------------------------------------------------
@@ -176,6 +194,56 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, similarity double")
 
 
+def agreeing_pairs(rows: DataFrame, agreement: float = AGREEMENT) -> DataFrame:
+    """Pairs (a < b) of nodes of one bucket, but of different roots, whose sketches agree enough.
+
+    rows: bucket, size (its rows), node, root, sketch, bands. A bucket is cut into blocks of nodes, and each
+    pair of blocks is one group of at most two blocks' rows. A pair comes from the first band it shares.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root", "sketch", "bands")
+    keys = ["bucket", "i", "j"]
+
+    def pairs(group: list[dict]) -> Iterator[tuple[int, int]]:
+        sketch = np.frombuffer(b"".join(r["sketch"] for r in group), dtype=np.uint8).reshape(len(group), -1)
+        node, root, block = (np.array([r[c] for r in group]) for c in ("node", "root", "block"))
+        bands, least = np.array([r["bands"] for r in group]), agreement * sketch.shape[1]
+        bucket = group[0]["bucket"]
+        between = group[0]["i"] != group[0]["j"]
+        for k in range(len(group) - 1):
+            near = np.flatnonzero((sketch[k + 1 :] == sketch[k]).sum(1) >= least) + k + 1
+            near = near[(root[near] != root[k]) & (not between or block[near] != block[k])]
+            if not len(near):
+                continue
+            same = bands[near] == bands[k]
+            near = near[bands[k][same.argmax(1)] == bucket]
+            for other in near:
+                yield min(node[k], node[other]), max(node[k], node[other])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        out: set[tuple[int, int]] = set()
+        for batch in batches:
+            for r in batch.to_pylist():
+                if held and any(held[0][c] != r[c] for c in keys):
+                    out.update(pairs(held))
+                    held = []
+                held.append(r)
+            yield _pairs(out)
+            out = set()
+        if held:
+            yield _pairs(set(pairs(held)))
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
+
+
+def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*found)) or [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node it is connected with) of every node in a link (a, b).
 
@@ -212,14 +280,13 @@ def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFr
     rows = _normal(docs)
     sketches = stored(sketched(rows), "sketches")
     known = sketches.where(F.col("doc_id").isNotNull())
-    nodes = known.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    nodes = stored(known.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
 
     # Buckets with company, and how popular each node in them is.
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(banded.join(sizes, "bucket"), "buckets")
     popular = shared.groupBy("node").agg(F.sum("n").alias("popularity"))
-    # Same doc_id, other text: linked by the id itself.
     ranked = F.struct(F.col("popularity"), -F.col("node"))
     centers = shared.join(popular, "node").groupBy("bucket").agg(F.max_by("node", ranked).alias("center"))
     spokes = shared.join(centers, "bucket").where("node <> center")
@@ -230,24 +297,23 @@ def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFr
         "texts",
     )
     links = stored(verified(first, texts, least).select("a", "b"), "links")
-    roots = components(links)
-
-    # Buckets that hold several components still: all pairs between different ones.
-    placed = shared.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = placed.join(centers, "bucket")
-    open_buckets = placed.where("node <> center").groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    rest = stored(placed.where("node <> center").join(open_buckets.where("low <> high").select("bucket"), "bucket").select("bucket", "node", "root"), "open")
-    left = rest.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    right = rest.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    second = left.join(right, "bucket").where("a < b and root_a <> root_b").select("a", "b").distinct()
+
+    # Buckets that hold several components still. Their centers have been compared with all others. Pairs
+    # that are likely links come first: they spare those pairs that end up in one component.
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = second.join(tried, ["a", "b"], "left_anti")
-    found = stored(verified(second, texts, least).select("a", "b"), "links")
+    for agreement in (least, least - (SIMILARITY - AGREEMENT)):
+        placed = shared.select("bucket", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = placed.join(centers, "bucket").where("node <> center")
+        still = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+        still = still.where("low <> high").select("bucket", "size")
+        rest = placed.join(still, "bucket").join(nodes, "node")
+        pairs = stored(agreeing_pairs(rest.select("bucket", "size", "node", "root", "sketch", "bands"), agreement).join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(stored(verified(pairs, texts, least).select("a", "b"), "links"))
+        tried = tried.unionByName(pairs)
     # Texts of one doc_id are one document.
     same = known.groupBy("doc_id").agg(F.count_distinct("key").alias("n")).where("n > 1").select("doc_id")
     same = known.join(same, "doc_id").join(nodes.select("key", "node"), "key").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    joined = links.unionByName(found).unionByName(same)
-    roots = stored(components(joined), "classes")
+    roots = stored(components(links.unionByName(same)), "classes")
 
     classes = nodes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))
     members = known.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(classes, "key")
