@@ -298,15 +298,19 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 # ---- scoring -------------------------------------------------------------------------------
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """Adds `score` (0 to 1) and `predicted` (1 if score >= 0.5) to every row; columns of these names are
-    replaced. A null or empty text gets the score of a text without any marked word."""
+def score_of(text: Column | str, model: Model) -> Column:
+    """The score (0 to 1) of a text column. A null or empty text scores as one without any marked word."""
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         return pa.array(model.scores(texts.to_pylist()), type=pa.float64())
 
-    return docs.withColumn("score", score("text")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return score(text)
+
+
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """Adds `score` and `predicted` (1 if score >= 0.5) to every row; columns of these names are replaced."""
+    return docs.withColumn("score", score_of("text", model)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 @query("op3_toxicity")
