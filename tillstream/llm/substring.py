@@ -39,7 +39,7 @@ from tillstream.llm.words import (
 )
 
 #: text bytes of a part; a part is held in one task's memory with a few numbers per word
-PART_BYTES = 12 << 20
+PART_BYTES = 6 << 20
 #: bits of a probe's hash below its hash range; a false agreement only costs a needless look in step 3
 PROBE_BITS = 40
 SET = "range int, part int, keys binary, flags binary"
