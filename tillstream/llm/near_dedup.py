@@ -40,7 +40,7 @@ WORDS, SIMILARITY = 5, 0.8
 #: bands and registers of a band: a pair at the least similarity is missed with probability 2.6e-5
 BANDS, ROWS = 20, 4
 #: registers of a signature, a prime; all of them, as one byte each, are the sketch that pairs are compared by
-REGISTERS = 479
+REGISTERS = 727
 #: share of agreeing registers below which a pair is not verified: four standard deviations below the
 #: least similarity, so that a pair at that similarity is missed with probability 5e-5
 AGREEMENT = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
