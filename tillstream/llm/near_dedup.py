@@ -184,7 +184,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                     # The smaller set bounds the similarity from above.
                     if min(len(x[0]), len(y[0])) >= least * max(len(x[0]), len(y[0])):
                         similarity = probability_jaccard(x, y)
-                        if similarity >= least:
+                        if similarity >= least - 1e-9:  # sums of quotients are not exact to the last bit
                             out.append((a[low + k], b[low + k], similarity))
             columns = list(zip(*out)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"])

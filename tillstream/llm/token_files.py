@@ -115,6 +115,15 @@ def _memo(path: str) -> dict[bytes, bytes]:
     return {}
 
 
+@functools.cache
+def _ends_word(path: str) -> np.ndarray:
+    """Which ids end a word."""
+    words = tokenizer(path).get_vocab(with_added_tokens=False)
+    out = np.zeros(max(words.values()) + 1 + 64, dtype=bool)
+    out[[i for w, i in words.items() if w.endswith("</w>")]] = True
+    return out
+
+
 #: a letter or digit before closing punctuation: the tokenizer always splits there
 _CLOSING = re.compile(rb"([A-Za-z0-9])([.,;:!?]+)(?=[ \t-\r]|$)")
 
@@ -135,9 +144,22 @@ def encode_raw(texts: list[bytes], path: str) -> list[np.ndarray]:
     if len(memo) > MEMO_CHUNKS:
         memo.clear()
     chunks = [_chunks(t) for t in texts]
-    new = list(set(itertools.chain.from_iterable(chunks)).difference(memo))
-    found = tokenizer(path).encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-    memo.update((c, np.array(e.ids, dtype="<u4").tobytes()) for c, e in zip(new, found))
+    new = [c.decode() for c in set(itertools.chain.from_iterable(chunks)).difference(memo)]
+    # A chunk of letters is one piece to the merges, and only the last id of a piece ends a word, so many
+    # such chunks go through the library as one text.
+    letters = [c for c in new if c.isalpha()]
+    groups = [letters[k : k + 512] for k in range(0, len(letters), 512)]
+    single = [c for c in new if not c.isalpha()]
+    for group, found in zip(groups, tokenizer(path).encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+        ids = np.array(found.ids, dtype="<u4")
+        ends = np.flatnonzero(_ends_word(path)[ids]) + 1
+        if len(ends) != len(group):
+            single += group
+            continue
+        raw = ids.tobytes()
+        memo.update((c.encode(), raw[4 * x : 4 * y]) for c, x, y in zip(group, [0, *ends.tolist()], ends.tolist()))
+    for c, found in zip(single, tokenizer(path).encode_batch_fast(single, add_special_tokens=False)):
+        memo[c.encode()] = np.array(found.ids, dtype="<u4").tobytes()
     return [np.frombuffer(b"".join(map(memo.__getitem__, c)), dtype="<u4") for c in chunks]
 
 
