@@ -122,6 +122,17 @@ def test_copies_are_spread_and_counted(spark):
     assert max(r["count"] for r in per_slice.collect()) < 200
 
 
+def test_rows_without_a_key_are_one_key(spark):
+    """A NULL key that spans many slices goes on counting in each."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"t{i:04d}", None, start + dt.timedelta(minutes=i), float(i % 17)) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    n, mean, z, flag, _ = scored([r[3] for r in rows])
+    out = running_zscore(df, hot_rows=50, slices=8).orderBy("txn_id").select(*SCORES).collect()
+    assert [r.user_txn_count for r in out] == list(range(1, 401))
+    assert np.allclose([r.user_running_mean for r in out], mean) and np.allclose([r.z_score for r in out], z, atol=1e-9)
+
+
 @pytest.mark.parametrize("offset", [1, -1])
 @pytest.mark.parametrize("within", [["g"], []])
 def test_neighbours(spark, offset, within):

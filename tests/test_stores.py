@@ -89,6 +89,30 @@ def test_orphans_are_removed(spark, tmp_path, rows):
     assert rows(stores.read_by_day(spark, path), "txn_id") == [("a",), ("d",)]
 
 
+def test_orphans_without_a_time(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    stores.append_dedup(spark.createDataFrame([("a", at(1), 1.0), ("b", None, 1.0), ("c", None, 1.0)], SCHEMA), path)
+    assert stores.remove_orphans(spark, path, spark.createDataFrame([("a",), ("c",)], "txn_id string")) == 1
+    assert rows(stores.read_by_day(spark, path), "txn_id") == [("a",), ("c",)]
+    assert stores.remove_orphans(spark, path, spark.createDataFrame([("a",)], "txn_id string")) == 1
+    assert rows(stores.read_by_day(spark, path), "txn_id") == [("a",)]
+
+
+def test_compaction_converges(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for part in range(12):
+        made = [(f"{part}-{i}", at(1) if i % 2 else None, float(i)) for i in range(200)]
+        stores.write_by_day(stores._with_day(spark.createDataFrame(made, SCHEMA), "timestamp"), path)
+    target = 8_000
+    before = spark.read.parquet(path).count()
+    assert stores.compact(spark, path, target) == 2
+    for _ in range(3):
+        if stores.compact(spark, path, target) == 0:
+            break
+    assert stores.compact(spark, path, target) == 0
+    assert spark.read.parquet(path).count() == before
+
+
 def test_stats_and_materialize(spark, tmp_path):
     df = spark.createDataFrame([("a", at(1), 1.0)], SCHEMA).unionAll(spark.createDataFrame([("b", at(1), 1.0)], SCHEMA))
     stored = stores.materialize(df, "a_model", str(tmp_path / "m"))

@@ -46,11 +46,16 @@ def round_steady(x: Column | str, places: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * scale + (0.5 + TIE_SLACK)) / F.lit(scale)
 
 
-def ratio_pct(num: Column | str, den: Column | str, places: int = 2, otherwise: float | None = None) -> Column:
-    """`num / den * 100` where the denominator is positive, else `otherwise`."""
+def ratio_pct(
+    num: Column | str, den: Column | str, places: int = 2, otherwise: float | None = None, scale_first: bool = False
+) -> Column:
+    """`num / den * 100` where the denominator is positive, else `otherwise`.
+
+    `scale_first` takes `num * 100 / den`, which can differ in the last kept place.
+    """
     num, den = _col(num), _col(den)
     safe = F.when(den > 0, den)
-    value = round_away(num / safe * 100, places)
+    value = round_away(num * 100 / safe if scale_first else num / safe * 100, places)
     if otherwise is None:
         return value
     return F.when(den > 0, value).otherwise(F.lit(float(otherwise)))

@@ -35,9 +35,15 @@ def shift(ts: Column, datepart: str, amount: int | Column) -> Column:
 
 
 def within_lookback(ts: Column | str, as_of: AsOf, amount: int, datepart: str = "day") -> Column:
-    """Rows not older than `amount` date parts before `as_of`."""
+    """Rows not older than `amount` date parts before `as_of`, and not later than `as_of`: a replay on a
+    table that has grown since gives the same rows."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return ts >= shift(as_of_column(as_of), datepart, -amount)
+    now = as_of_column(as_of)
+    return (ts >= shift(now, datepart, -amount)) & (ts <= now)
+
+
+#: what the timestamp type can hold; no smaller number is taken for a mistake
+MOST_SECONDS = 9.2e12
 
 
 def event_time(raw: Column | str) -> Column:
@@ -48,7 +54,7 @@ def event_time(raw: Column | str) -> Column:
     raw = F.col(raw) if isinstance(raw, str) else raw
     seconds = raw.try_cast("double")
     # A bare number also parses as an ISO year, so the numeric reading is tried first.
-    from_number = F.when(F.abs(seconds) < 1e11, F.timestamp_micros(F.floor(seconds * 1000) * 1000))
+    from_number = F.when(F.abs(seconds) <= MOST_SECONDS, F.timestamp_micros(F.floor(seconds * 1000) * 1000))
     return F.coalesce(from_number, F.try_to_timestamp(raw), F.timestamp_seconds(F.lit(0)))
 
 

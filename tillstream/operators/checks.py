@@ -283,7 +283,8 @@ def columns_match_set(df: DataFrame, column_list: Sequence[str], transform=str.u
 class Check:
     """A named rule and when it counts as a warning or an error.
 
-    `rows` holds the failing rows; `fail_value` reduces them to one number. A `where` filter on
+    `rows` holds the failing rows; `fail_value` reduces them to one number. Without it, rows are counted;
+    groups of failing rows with `n_rows` count as that many. A `where` filter on
     the tested table belongs into the call that builds `rows` (see `filtered`).
     """
 
@@ -294,7 +295,8 @@ class Check:
     error_if: str = "!= 0"
 
     def result(self) -> DataFrame:
-        value = F.count("*") if self.fail_value is None else self.fail_value
+        counted = F.sum("n_rows") if "n_rows" in self.rows.columns else F.count("*")
+        value = counted if self.fail_value is None else self.fail_value
         failures = self.rows.agg(F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint")).alias("failures"))
         status = (
             F.when(F.expr(f"failures {self.error_if}"), "fail")

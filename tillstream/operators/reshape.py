@@ -55,9 +55,8 @@ def group_by_first(df: DataFrame, n: int):
 
 def slugify(name: str) -> str:
     """Column-safe name: `2nd Half-Year!` gives `_2nd_half_year`."""
-    joined = "_".join(re.split("[ -]+", name.lower()))
-    slug = "".join(ch for ch in joined if ch == "_" or (ch.isascii() and ch.isalnum()))
-    return f"_{slug}" if slug[:1].isdigit() else slug
+    slug = re.sub(r"[^a-z0-9_]", "", re.sub(r"[ -]+", "_", name.lower()))
+    return re.sub(r"^(?=[0-9])", "_", slug)
 
 
 _COMPARE = {
@@ -107,10 +106,13 @@ def pivot_columns(
     return out
 
 
-def pivot(df: DataFrame, group_by: Sequence[str], column: str, values: Sequence | None = None, **options) -> DataFrame:
-    """`pivot_columns` grouped; without `values` they are looked up (most frequent first)."""
+def pivot(
+    df: DataFrame, group_by: Sequence[str], column: str, values: Sequence | None = None, most: int = MAX_VALUES, **options
+) -> DataFrame:
+    """`pivot_columns` grouped; without `values` they are looked up (most frequent first), `most` of them
+    or an error."""
     if values is None:
-        values = bounded_values(column_values(df, column))
+        values = bounded_values(column_values(df, column), most)
     return df.groupBy(*group_by).agg(*pivot_columns(column, values, **options))
 
 
@@ -136,13 +138,15 @@ def bounded_values(values: DataFrame, most: int = MAX_VALUES) -> list:
     return found
 
 
-def table_column_values(spark: SparkSession, table: str, column: str, default=None, **options) -> list:
+def table_column_values(
+    spark: SparkSession, table: str, column: str, default=None, most: int = MAX_VALUES, **options
+) -> list:
     """`column_values` of a catalog table as a list; `default` if the table is missing or empty."""
     if not spark.catalog.tableExists(table):
         if default is None:
             raise ValueError(f"table {table} does not exist and no default was given")
         return default
-    return bounded_values(column_values(spark.table(table), column, **options)) or default
+    return bounded_values(column_values(spark.table(table), column, **options), most) or default
 
 
 def single_value(df: DataFrame, default=None):
@@ -293,7 +297,4 @@ def date_spine(spark: SparkSession, datepart: str, start, end) -> DataFrame:
     cut = [F.date_trunc(datepart, x) for x in as_time]
     steps = spark.range(1).select(F.timestamp_diff(unit, *cut)).first()[0]
     name = f"date_{datepart}"
-    spine = spark.range(max(steps, 0)).select(
-        F.timestamp_add(unit, F.col("id").cast("int"), as_time[0]).alias(name)
-    )
-    return spine.where(F.col(name) <= as_time[1])
+    return spark.range(max(steps, 0)).select(F.timestamp_add(unit, F.col("id").cast("int"), as_time[0]).alias(name))

@@ -75,7 +75,10 @@ def _sliced(
     frame = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     n1, mean1, m21 = _moments(frame)
     local = rows.select("*", n1.alias("_n1"), mean1.alias("_mean1"), m21.alias("_m21"))
-    joined = local.join(carried, [key, "_slice"], "left")
+    # Null-safe: rows without a key are one key too.
+    carried = carried.withColumnsRenamed({key: "_carried_key", "_slice": "_carried_slice"})
+    same = F.col(key).eqNullSafe(F.col("_carried_key")) & (F.col("_slice") == F.col("_carried_slice"))
+    joined = local.join(carried, same, "left")
     n0 = F.coalesce("_n0", F.lit(0))
     n = n0 + F.col("_n1")
     gap = F.col("_mean1") - F.coalesce("_mean0", F.lit(0.0))

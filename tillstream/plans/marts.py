@@ -73,7 +73,7 @@ def dim_merchants(stg_transactions: DataFrame, stg_anomalies: DataFrame) -> Data
     transactions, so it can exceed 100."""
     stats = merchant_stats(approved_only(stg_transactions))
     joined = left_with_default(stats, anomaly_counts(stg_anomalies), ["merchant_id"], {"anomaly_count": 0})
-    rate = ratio_pct("anomaly_count", "lifetime_txn_count", 4, otherwise=0)
+    rate = ratio_pct("anomaly_count", "lifetime_txn_count", 4, otherwise=0, scale_first=True)
     return joined.withColumn("anomaly_rate_pct", rate)
 
 

@@ -119,7 +119,7 @@ _DIM = f"""with {STAGED}, {MERCHANTS}, {ANOMALIES},
   counts as (select merchant_id, count(*) as anomaly_count from anomalies group by 1)
   select m.*, coalesce(anomaly_count, 0) as anomaly_count,
          case when lifetime_txn_count > 0
-              then {rounded("coalesce(anomaly_count, 0) / lifetime_txn_count * 100", 4)} else 0 end as anomaly_rate_pct
+              then {rounded("coalesce(anomaly_count, 0) * 100.0 / lifetime_txn_count", 4)} else 0 end as anomaly_rate_pct
   from merchants m left join counts using (merchant_id)"""
 
 

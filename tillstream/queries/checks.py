@@ -303,6 +303,8 @@ def _(spark, sf):
     """select 'lineitem_quantity' as check_name, count(*) as failures, 'fail' as status from lineitem where l_quantity > 45
        union all select 'rare_discount', count(*), case when count(*) > 1000000000 then 'fail'
          when count(*) > 0 then 'warn' else 'pass' end from lineitem where l_discount > 0.09
+       union all select 'grouped_relationships', count(*), case when count(*) > 10 then 'fail' else 'pass' end
+         from lineitem where l_suppkey not in (select s_suppkey from supplier where s_acctbal > 0)
        union all select 'big_orders_only', count(*), case when count(*) = 0 then 'pass' else 'fail' end
          from orders where o_totalprice > 400000 and o_totalprice <= 400000
        union all select 'order_sets', n, case when n = 0 then 'pass' else 'fail' end from (
@@ -312,12 +314,17 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Thresholds, a pre-filter and a custom fail value."""
-    items, orders, customer = (table(spark, sf, n) for n in ("lineitem", "orders", "customer"))
+    items, orders, customer, supplier = (table(spark, sf, n) for n in ("lineitem", "orders", "customer", "supplier"))
     big = checks.filtered(orders, "o_totalprice > 400000")
     a = orders.select(F.col("o_custkey").alias("key"))
     b = customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("key"))
     return checks.run_checks(
         [
+            checks.Check(
+                "grouped_relationships",
+                checks.relationships_where(items, "l_suppkey", supplier, "s_suppkey", to_condition="s_acctbal > 0"),
+                error_if="> 10",
+            ),
             checks.Check("lineitem_quantity", checks.accepted_range(items, "l_quantity", max_value=45)),
             checks.Check(
                 "rare_discount",

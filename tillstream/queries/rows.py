@@ -183,6 +183,18 @@ def _(spark, sf):
     return serving.lookback(live_transactions(spark, sf), EVENTS_AS_OF, 7).select("txn_id", "timestamp", "amount")
 
 
+@query(
+    "p4_lookback_replay",
+    f"""with {LIVE}, bounds as (select {EVENTS_NOW} - interval 20 day as now)
+        select txn_id, "timestamp", amount from live, bounds
+        where "timestamp" >= now - interval 7 day and "timestamp" <= now""",
+)
+def _(spark, sf):
+    """As of a day in the middle of the data: later rows do not count."""
+    now = times.shift(times.as_of_column(EVENTS_AS_OF), "day", -20)
+    return serving.lookback(live_transactions(spark, sf), now, 7).select("txn_id", "timestamp", "amount")
+
+
 @query(
     "p5_star",
     """select o_orderkey as old_o_orderkey_v1, o_custkey as old_o_custkey_v1, o_orderstatus as old_o_orderstatus_v1,
@@ -452,13 +464,9 @@ def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", *keys)
 
 
-_BARE = "replace(replace(url, 'http://', ''), 'https://', '')"
-
-
 @query(
     "f9_url_host",
-    f"""select page_id, split_part(split_part(replace({_BARE}, 'android-app://', ''), '/', 1), '?', 1) as host
-        from pages""",
+    "select page_id, regexp_extract(url, '^(?:https?://|android-app://)?([^/?]*)', 1) as host from pages",
 )
 def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", urls.url_host("url").alias("host"))
@@ -466,9 +474,7 @@ def _(spark, sf):
 
 @query(
     "f10_url_path",
-    f"""select page_id, split_part(right(bare, length(bare)
-           - coalesce(nullif(instr(bare, '/'), 0), instr(bare, '?') - 1)), '?', 1) as path
-        from (select page_id, {_BARE} as bare from pages)""",
+    "select page_id, regexp_extract(url, '^(?:https?://)?[^/?]*/?([^?]*)', 1) as path from pages",
 )
 def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", urls.url_path("url").alias("path"))
@@ -476,8 +482,8 @@ def _(spark, sf):
 
 @query(
     "f11_url_parameter",
-    """select page_id, nullif(split_part(split_part(url, 'utm_source=', 2), '&', 1), '') as utm_source,
-              nullif(split_part(split_part(url, 'page=', 2), '&', 1), '') as page from pages""",
+    """select page_id, nullif(regexp_extract(url, '[?&]utm_source=([^&]*)', 1), '') as utm_source,
+              nullif(regexp_extract(url, '[?&]page=([^&]*)', 1), '') as page from pages""",
 )
 def _(spark, sf):
     names = ("utm_source", "page")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.times import AsOf, as_of_column, shift, within_lookback
@@ -38,10 +38,30 @@ def _days(df: DataFrame) -> list:
     return [r[0] for r in df.select(DAY).distinct().collect()]
 
 
-def write_by_day(df: DataFrame, path: str, mode: str = "append") -> None:
+def _in_days(days: list) -> Column:
+    """Rows of some dates; None stands for rows without a date."""
+    found = F.col(DAY).isin([d for d in days if d is not None])
+    return found | F.col(DAY).isNull() if None in days else found
+
+
+def _folder(path: str, day) -> str:
+    """Where Spark keeps a date's rows."""
+    return f"{path}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+
+
+def write_by_day(df: DataFrame, path: str, mode: str = "append", needed: list | None = None) -> None:
     """Write partitioned by `event_date`. The rebalance lets AQE split a heavy day over several
-    files and merge light ones, instead of one file per task and day."""
-    writer = df.hint("rebalance", DAY).write.mode(mode).partitionBy(DAY)
+    files and merge light ones, instead of one file per task and day.
+
+    `needed` (date, files) fixes how many files a date gets at most instead.
+    """
+    dealt = df.hint("rebalance", DAY)
+    if needed is not None:
+        files = df.sparkSession.createDataFrame([(r[0], r[1]) for r in needed], "_day date, _files int")
+        dealt = df.join(F.broadcast(files), F.col(DAY).eqNullSafe(F.col("_day")))
+        dealt = dealt.withColumn("_file", F.pmod(F.xxhash64(*df.columns), F.col("_files")))
+        dealt = dealt.repartition(max(1, sum(r[1] for r in needed)), DAY, "_file").drop("_day", "_files", "_file")
+    writer = dealt.write.mode(mode).partitionBy(DAY)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -184,13 +204,16 @@ def remove_orphans(
     touched = _days(missing)
     if not touched:
         return 0
-    hit = stored.where(F.col(DAY).isin(touched))
-    removed = hit.join(missing, [key, DAY], "left_semi").count()
-    kept = hit.join(missing, [key, DAY], "left_anti")
+    hit = stored.where(_in_days(touched))
+    # Rows without a time have no date; they are orphans like any others.
+    missing = missing.select(F.col(key).alias("_orphan"), F.col(DAY).alias("_orphan_day"))
+    same = (F.col(key) == F.col("_orphan")) & F.col(DAY).eqNullSafe(F.col("_orphan_day"))
+    removed = hit.join(missing, same, "left_semi").count()
+    kept = hit.join(missing, same, "left_anti")
     emptied = set(touched) - set(_days(kept))
     write_by_day(kept, path, "overwrite")
     for day in emptied:
-        fs, folder = file_system(spark, f"{path}/{DAY}={day.isoformat()}")
+        fs, folder = file_system(spark, _folder(path, day))
         fs.delete(folder, True)
     return removed
 
@@ -217,7 +240,9 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     stored = spark.read.parquet(path)
     files = stored.select(DAY, "_metadata.file_path", "_metadata.file_size").distinct()
     by_day = files.groupBy(DAY).agg(F.count("*").alias("files"), F.sum("file_size").alias("bytes"))
-    crowded = [r[DAY] for r in by_day.where(F.col("files") > F.ceil(F.col("bytes") / target_bytes)).collect()]
+    needed = by_day.select(DAY, F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int").alias("needed"), "files")
+    needed = needed.where("files > needed").drop("files").collect()
+    crowded = [r[DAY] for r in needed]
     if crowded:
-        write_by_day(stored.where(F.col(DAY).isin(crowded)), path, "overwrite")
+        write_by_day(stored.where(_in_days(crowded)), path, "overwrite", needed)
     return len(crowded)
