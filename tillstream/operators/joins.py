@@ -32,7 +32,7 @@ def unmatched_keys(
 
 def orphans(left: DataFrame, right: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Left rows whose key is unknown on the right. `left` should hold one row per key."""
-    missing = left.join(right.select(key).distinct(), key, "left_anti")
+    missing = left.join(right.select(key), key, "left_anti")
     return missing.orderBy(key).limit(limit) if limit is not None else missing
 
 
