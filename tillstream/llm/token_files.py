@@ -41,7 +41,7 @@ PAGE_IDS = 1 << 19
 #: text bytes of a range of documents
 PART_BYTES = 32 << 20
 #: chunks whose ids a worker remembers; beyond it the memory is emptied, which costs time only
-MEMO_CHUNKS = 1 << 20
+MEMO_CHUNKS = 600_000
 PAGES = "part int, page int, doc_ids array<long>, n_tokens array<long>, content binary"
 
 
