@@ -355,6 +355,11 @@ def test_toxicity(spark, docs, no_docs):
     model = toxicity.fit(df, marks)
     held = toxicity.scored(df, model).where(toxicity.in_held_out("doc_id")).collect()
     assert len(held) > 40 and all(r["predicted"] == int(r["doc_id"] % 4 < 2) for r in held)
+    # A stem that clean texts have once counts where it comes up often, in proportion to the length.
+    voters = toxicity.Voters(["achl#", "achl+", "idiot*"])
+    assert toxicity.terms_in("achla achlb") >= {"achl#", "achl+", "achla"} and "achl#" not in toxicity.terms_in("achla und achl")
+    assert voters.row("achla und achlb")[:4] == ([0, 1], 1, 2, 3) and voters.row("achla und achl")[:4] == ([1], 1, 1, 3)
+    assert voters.row("achla achlb " + "und " * 900)[:4] == ([1], 1, 2, 902) and voters.row(None)[:4] == ([], 0, 0, 0)
     for fitted in (model, toxicity.fit(no_docs, labels), toxicity.fit(docs, marks.limit(0))):
         scores = toxicity.scored(docs, fitted).collect()
         assert len(scores) == 12 and all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in scores)

@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 Many voters look at a text: terms of general lexicons, terms mined from labelled rows (whole words and
-word beginnings, so that inflected and compound forms count), and patterns over them. A generative
+word beginnings, once or often, so that inflected and compound forms count), and patterns over them. A generative
 label model estimates by EM how often each voter votes what under either class, and how far voters go
 together given the class; voters that say the same count as fewer votes. A logistic regression is
 then trained on the model's posterior labels and scores every whole text.
@@ -30,6 +30,9 @@ CANDIDATES = 4096
 LEAST_TEXTS, LEAST_PRECISION, EXPLAINED = 5, 0.9, 2
 #: lengths of word beginnings that are tried as terms
 BEGINNINGS = (4, 5, 6, 7, 8)
+#: a beginning that innocent words have now and then marks a text where so many different words have it, and at
+#: least one in so many words of the text: neither repeated lines nor long texts count by themselves
+OFTEN, ONCE_IN = 2, 400
 #: odds that a label is right, by which fitting rows' labels hold the label model in place
 LABEL_ODDS = 9.0
 #: general lexicons of abuse; a mark * stands for any ending, also none
@@ -49,8 +52,24 @@ TOXIC, CLEAN = 1, -1
 
 def terms_of(word: str) -> list[str]:
     """A word as a term and its beginnings, marked with + for at least one letter more: a stem may be an
-    innocent word by itself."""
-    return [word, *(word[:n] + "+" for n in BEGINNINGS if len(word) > n)]
+    innocent word by itself. The mark # stands for the same, where several words have it."""
+    return [word, *(word[:n] + mark for n in BEGINNINGS if len(word) > n for mark in "+#")]
+
+
+def is_often(different: int, n: int, total: int) -> bool:
+    return different >= OFTEN and n * ONCE_IN >= total
+
+
+def terms_in(text: str) -> set[str]:
+    """All terms of a text."""
+    words = Counter(WORD.findall(text.lower()))
+    counts, different = Counter(), Counter()
+    for word, n in words.items():
+        for term in terms_of(word):
+            counts[term] += n
+            different[term] += 1
+    total = words.total()
+    return {t for t, n in counts.items() if not t.endswith("#") or is_often(different[t], n, total)}
 
 
 @dataclass
@@ -61,30 +80,40 @@ class Voters:
 
     def __post_init__(self):
         self.whole: dict[str, int] = {}
-        self.begin: dict[int, dict[str, int]] = {}  # by length of the stem
+        self.begin: dict[int, dict[str, list[int]]] = {}  # by length of the stem
+        self.often: set[int] = set()
         for i, t in enumerate(self.terms):
-            if t.endswith(("*", "+")):
-                self.begin.setdefault(len(t) - 1, {})[t[:-1]] = i
-            if not t.endswith("+"):
+            if t.endswith(("*", "+", "#")):
+                self.begin.setdefault(len(t) - 1, {}).setdefault(t[:-1], []).append(i)
+            if t.endswith("#"):
+                self.often.add(i)
+            elif not t.endswith("+"):
                 self.whole[t.rstrip("*")] = i
 
     def hits(self, text: str | None) -> tuple[Counter, int, int]:
         """(occurrences by term number, marked words, all words)."""
         words = Counter(WORD.findall((text or "").lower()))
-        found: Counter = Counter()
-        marked = 0
+        total = words.total()
+        found, different = Counter(), Counter()
+        having = []
         for word, n in words.items():
-            of = [i for i in (self.whole.get(word), *(b.get(word[:k]) for k, b in self.begin.items() if len(word) > k)) if i is not None]
+            of = {i for k, b in self.begin.items() if len(word) > k for i in b.get(word[:k], ())}
+            if word in self.whole:
+                of.add(self.whole[word])
             if of:
-                marked += n
-                for i in set(of):
+                having.append((of, n))
+                for i in of:
                     found[i] += n
-        return found, marked, words.total()
+                    different[i] += 1
+        for i in self.often & found.keys():
+            if not is_often(different[i], found[i], total):
+                del found[i]
+        return found, sum(n for of, n in having if not of.isdisjoint(found)), total
 
     def row(self, text: str | None) -> tuple[list[int], int, int, int, bool]:
         """What votes and features are made of: terms found, words they begin (nested terms once), all words."""
         found, marked, total = self.hits(text)
-        roots = {self.terms[i].rstrip("*+")[: BEGINNINGS[0]] for i in found}
+        roots = {self.terms[i].rstrip("*+#")[: BEGINNINGS[0]] for i in found}
         loud = bool(text) and sum(c.isupper() for c in text) > 0.5 * sum(c.isalpha() for c in text) and text.count("!") >= 3
         return sorted(found), len(roots), marked, total, loud
 
@@ -224,7 +253,7 @@ def mined_terms(rows: DataFrame, candidates: int = CANDIDATES) -> list[str]:
         for batch in batches:
             seen = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                seen[toxic].update({t for w in set(WORD.findall(text.lower())) for t in terms_of(w)})
+                seen[toxic].update(terms_in(text))
             # Terms seen in no toxic text of this batch matter only if another batch has one: all are sent.
             terms = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays(
