@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.functions.money import money_avg, money_sum, ratio_pct, round_away
+from tillstream.functions.money import cents, money_avg, money_sum, ratio_pct, round_away
 from tillstream.functions.times import AsOf, within_lookback
 from tillstream.operators.joins import left_with_default
 from tillstream.plans.staging import approved_only
@@ -97,18 +97,35 @@ def lifetime_merchants(approved: DataFrame) -> DataFrame:
 
 
 def fct_merchant_rollup(stg_transactions: DataFrame, as_of: AsOf, days: int = 30) -> DataFrame:
-    approved = approved_only(stg_transactions)
-    joined = recent_merchants(approved, as_of, days).join(lifetime_merchants(approved), "merchant_id")
-    return joined.select(
-        "merchant_id",
-        "merchant_category",
-        "recent_txn_count",
-        "recent_revenue",
-        round_away("recent_avg_amount", 2).alias("recent_avg_amount"),
-        "recent_unique_users",
-        "lifetime_txn_count",
-        "lifetime_revenue",
-        ratio_pct("recent_revenue", "lifetime_revenue", 2, otherwise=0).alias(f"pct_revenue_last_{days}d"),
+    """One pass over the history: per merchant and category all rows and, by condition, the recent ones; the
+    lifetime of a merchant is the sum over its categories."""
+    approved = approved_only(stg_transactions).where("merchant_id is not null")
+    recent = within_lookback("txn_date", as_of, days)
+    amount = F.when(recent, F.col("amount"))
+    per_category = approved.groupBy("merchant_id", "merchant_category").agg(
+        F.count_if(recent).alias("recent_txn_count"),
+        money_sum(amount).alias("recent_revenue"),
+        money_avg(amount).alias("recent_avg_amount"),
+        F.count_distinct(F.when(recent, F.col("user_id"))).alias("recent_unique_users"),
+        F.count("*").alias("txn_count"),
+        F.sum(cents("amount")).alias("cents"),
+    )
+    merchant = Window.partitionBy("merchant_id")
+    return (
+        per_category.withColumn("lifetime_txn_count", F.sum("txn_count").over(merchant))
+        .withColumn("lifetime_revenue", F.sum("cents").over(merchant) / F.lit(100.0))
+        .where("recent_txn_count > 0")
+        .select(
+            "merchant_id",
+            "merchant_category",
+            "recent_txn_count",
+            "recent_revenue",
+            round_away("recent_avg_amount", 2).alias("recent_avg_amount"),
+            "recent_unique_users",
+            "lifetime_txn_count",
+            "lifetime_revenue",
+            ratio_pct("recent_revenue", "lifetime_revenue", 2, otherwise=0).alias(f"pct_revenue_last_{days}d"),
+        )
     )
 
 
