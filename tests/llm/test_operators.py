@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import SF_DIR
@@ -26,6 +27,7 @@ from tillstream.llm import (
     toxicity,
 )
 from tillstream.llm.main_text import extract_pages, main_blocks
+from tillstream.llm.words import text_buffer
 
 
 TEXTS = [
@@ -284,6 +286,19 @@ def test_near_duplicates(spark, docs, no_docs):
     assert near_dedup.near_duplicate_classes(no_docs).collect() == []
 
 
+def test_near_duplicates_of_repetitive_texts(spark):
+    """Few changed words in a repeated line add many distinct shingles, but hardly any weight."""
+    line = [f"r{k}" for k in range(12)]
+    changed = line * 40
+    changed[100], changed[300] = "x", "y"
+    rows = [(1, " ".join(line * 40)), (2, " ".join([*line * 40, *(f"t{k}" for k in range(6))])), (3, " ".join(changed)), (4, " ".join(f"z{k}" for k in range(480)))]
+    for k in (1, 2):
+        counts = [len(near_dedup.shingles(*text_buffer(pa.array([t])))[0]) for t in (rows[0][1], rows[k][1])]
+        assert min(counts) < 0.8 * max(counts) and brute_similarity(rows[0][1], rows[k][1]) > 0.95
+    found = near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["kept"]) for r in found) == [(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+
+
 def test_signatures_estimate_the_similarity():
     chance = random.Random(2)
     a = [f"w{chance.randint(0, 60)}" for _ in range(300)]
