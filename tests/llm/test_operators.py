@@ -299,6 +299,15 @@ def test_near_duplicates_of_repetitive_texts(spark):
     assert sorted((r["doc_id"], r["class_id"], r["kept"]) for r in found) == [(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
 
 
+def test_near_duplicates_of_further_texts(spark):
+    """Each text of a doc_id can link it with others, not only its largest one."""
+    texts = [[f"{c}{k}" for k in range(100)] for c in "abc"]
+    near = [[*t[:50], "new", *t[51:]] for t in texts]
+    rows = [(5, " ".join(t)) for t in texts] + [(k, " ".join(t)) for k, t in zip((2, 7, 8), near)] + [(9, " ".join(f"z{k}" for k in range(100)))]
+    found = near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["class_size"]) for r in found) == [(i, 2, 6) for i in (2, 5, 5, 5, 7, 8)] + [(9, 9, 1)]
+
+
 def test_signatures_estimate_the_similarity():
     chance = random.Random(2)
     a = [f"w{chance.randint(0, 60)}" for _ in range(300)]

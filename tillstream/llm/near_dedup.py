@@ -167,7 +167,7 @@ def sketched(rows: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose whole texts are similar enough, with `similarity`."""
+    """The pairs (a, b) of text keys whose whole texts are similar enough, as nodes, with `similarity`."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,26 +187,27 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             columns = list(zip(*out)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"])
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, similarity double")
+    left = texts.select(F.col("key").alias("a"), F.col("node").alias("node_a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("key").alias("b"), F.col("node").alias("node_b"), F.col("text").alias("text_b"))
+    both = pairs.join(left, "a").join(right, "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "text_a", "text_b")
+    return both.mapInArrow(compare, "a long, b long, similarity double")
 
 
 def agreeing_pairs(rows: DataFrame, agreement: float = AGREEMENT) -> DataFrame:
-    """Pairs (a < b) of nodes of one bucket, but of different roots, whose sketches agree enough.
+    """Pairs (a < b) of text keys of one bucket, but of different roots, whose sketches agree enough.
 
-    rows: bucket, size (its rows), node, root, sketch, bands. A bucket is cut into blocks of nodes, and each
+    rows: bucket, size (its rows), key, root, sketch, bands. A bucket is cut into blocks of nodes, and each
     pair of blocks is one group of at most two blocks' rows. A pair comes from the first band it shares.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root", "sketch", "bands")
+    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "root", "sketch", "bands")
     keys = ["bucket", "i", "j"]
 
-    def pairs(group: list[dict]) -> Iterator[tuple[int, int]]:
+    def pairs(group: list[dict]) -> Iterator[tuple[bytes, bytes]]:
         sketch = np.frombuffer(b"".join(r["sketch"] for r in group), dtype=np.uint8).reshape(len(group), -1)
-        node, root, block = (np.array([r[c] for r in group]) for c in ("node", "root", "block"))
+        root, block = (np.array([r[c] for r in group]) for c in ("root", "block"))
         bands, least = np.array([r["bands"] for r in group]), agreement * sketch.shape[1]
         bucket = group[0]["bucket"]
         between = group[0]["i"] != group[0]["j"]
@@ -218,11 +219,12 @@ def agreeing_pairs(rows: DataFrame, agreement: float = AGREEMENT) -> DataFrame:
             same = bands[near] == bands[k]
             near = near[bands[k][same.argmax(1)] == bucket]
             for other in near:
-                yield min(node[k], node[other]), max(node[k], node[other])
+                a, b = group[k]["key"], group[other]["key"]
+                yield min(a, b), max(a, b)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        out: set[tuple[int, int]] = set()
+        out: set[tuple[bytes, bytes]] = set()
         for batch in batches:
             for r in batch.to_pylist():
                 if held and any(held[0][c] != r[c] for c in keys):
@@ -234,12 +236,12 @@ def agreeing_pairs(rows: DataFrame, agreement: float = AGREEMENT) -> DataFrame:
         if held:
             yield _pairs(set(pairs(held)))
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a binary, b binary").distinct()
 
 
-def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
+def _pairs(found: set[tuple[bytes, bytes]]) -> pa.RecordBatch:
     columns = list(zip(*found)) or [[], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -280,32 +282,31 @@ def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFr
     known = sketches.where(F.col("doc_id").isNotNull())
     nodes = stored(known.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
 
-    # Buckets with company, and how popular each node in them is.
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    # Buckets with company, and how popular each text in them is.
+    banded = nodes.select("key", "node", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(banded.join(sizes, "bucket"), "buckets")
-    popular = shared.groupBy("node").agg(F.sum("n").alias("popularity"))
-    ranked = F.struct(F.col("popularity"), -F.col("node"))
-    centers = shared.join(popular, "node").groupBy("bucket").agg(F.max_by("node", ranked).alias("center"))
-    spokes = shared.join(centers, "bucket").where("node <> center")
-    first = spokes.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-
-    texts = stored(
-        rows.join(popular.select(F.col("node").alias("doc_id")), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).withColumnRenamed("doc_id", "node"),
-        "texts",
-    )
+    popular = shared.groupBy("key", "node").agg(F.sum("n").alias("popularity"))
+    ranked = F.struct(F.col("popularity"), -F.col("node"), F.col("key"))
+    centers = shared.join(popular.select("key", "popularity"), "key").groupBy("bucket").agg(F.max_by("key", ranked).alias("center"))
+    spokes = shared.join(centers, "bucket").where("key <> center")
+    first = spokes.select(F.col("center").alias("a"), F.col("key").alias("b")).distinct()
+
+    # Every text is verified, also the further ones of a doc_id; copies are read from their smallest doc_id only.
+    keyed = rows.withColumn("key", F.unhex(F.md5("text"))).join(popular.select("key", F.col("node").alias("doc_id")), ["doc_id", "key"])
+    texts = stored(keyed.groupBy(F.col("doc_id").alias("node"), "key").agg(F.max("text").alias("text")), "texts")
     links = stored(verified(first, texts, least).select("a", "b"), "links")
 
     # Buckets that hold several components still. Their centers have been compared with all others. Pairs
     # that are likely links come first: they spare those pairs that end up in one component.
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for agreement in (least, least - (SIMILARITY - AGREEMENT)):
-        placed = shared.select("bucket", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        placed = placed.join(centers, "bucket").where("node <> center")
+        placed = shared.select("bucket", "key", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = placed.join(centers, "bucket").where("key <> center")
         still = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
         still = still.where("low <> high").select("bucket", "size")
-        rest = placed.join(still, "bucket").join(nodes, "node")
-        pairs = stored(agreeing_pairs(rest.select("bucket", "size", "node", "root", "sketch", "bands"), agreement).join(tried, ["a", "b"], "left_anti"), "pairs")
+        rest = placed.drop("node").join(still, "bucket").join(nodes, "key")
+        pairs = stored(agreeing_pairs(rest.select("bucket", "size", "key", "root", "sketch", "bands"), agreement).join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(stored(verified(pairs, texts, least).select("a", "b"), "links"))
         tried = tried.unionByName(pairs)
     # Texts of one doc_id are one document.
