@@ -348,6 +348,16 @@ def test_contamination(spark, docs, no_docs):
     assert decontamination.contaminations(docs, benchmark).collect() == []
 
 
+def test_contamination_by_short_items(spark):
+    items = [(1, "short question here"), (2, "Why?"), (3, "one two three four"), (4, "a b c d e")]
+    rows = [(1, "Is this a short question, here?"), (2, "question short here, one two three"), (3, "one two three four five; a b c d"), (4, "why why"), (5, "short question"), (6, "A b c d e")]
+    found = decontamination.contaminations(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    columns = ["doc_id", "item_id", "coverage", "n_item_words", "n_covered"]
+    assert sorted(map(tuple, found.select(columns).collect())) == [(1, 1, 1.0, 3, 3), (3, 3, 1.0, 4, 4), (4, 2, 1.0, 1, 1), (6, 4, 1.0, 5, 5)]
+
+
 # ---- 5: licenses ---------------------------------------------------------------------------
 
 

@@ -4,7 +4,8 @@ Seeds are the benchmark's windows of SEED words, by rolling (Karp-Rabin) hash. A
 hashes are looked up among them; where an item shares seeds with the document, the item is tiled
 greedily: again and again the longest match of words not yet marked on either side is marked, down to
 the seed length. Matches may come in any order, so passages that were reordered are caught. A
-document is contaminated by an item if its tiles cover enough of the item.
+document is contaminated by an item if its tiles cover enough of the item. An item shorter than a seed is
+one seed of its own length: it is found where the document has all its words in a row.
 
 Documents are read once per block of benchmark items and nothing is shuffled. A block has a bounded
 number of words, so the index that every task holds is bounded too, however long the benchmark is.
@@ -79,38 +80,53 @@ def tiles(item: np.ndarray, doc: np.ndarray, seeds: np.ndarray, least: int = SEE
     return out
 
 
-class Block:
-    """Benchmark items of one block with an index of their seeds."""
+class Seeds:
+    """Windows of `size` words that begin at given places of a block's words, by hash."""
 
-    def __init__(self, items: list[tuple[int, str]], seed: int):
-        self.seed = seed
-        self.ids = [i for i, _ in items]
-        data, offsets = text_buffer(pa.array([t for _, t in items], pa.large_string()))
-        starts, ends, self.first = word_spans(data, offsets)
-        self.words = word_hashes(data, starts, ends)
-        self.row = rows_of_words(self.first)
-        at = np.flatnonzero(whole_windows(self.row, seed))
-        hashes = window_hashes(self.words, seed)[at]
+    def __init__(self, size: int, words: np.ndarray, at: np.ndarray):
+        self.size = size
+        hashes = window_hashes(words, size)[at]
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.places = hashes[order], at[order]
         # Most windows of a document are ruled out by the upper bits of their hash.
-        self.sieve = np.zeros(1 << 22, dtype=bool)
+        self.sieve = np.zeros((1 << 22) if len(at) else 0, dtype=bool)
         self.sieve[(hashes >> np.uint64(42)).astype(np.int64)] = True
 
-    def found(self, words: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(document row, item, seeds as pairs of word numbers) for all that share a seed."""
-        hashes, places, size = self.hashes, self.places, self.seed
+    def pairs(self, words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers in the block and in the documents at which the windows agree."""
+        none = np.zeros(0, dtype=np.int64)
+        hashes, size = self.hashes, self.size
         if not len(hashes) or len(words) < size:
-            return
+            return none, none
         probes = window_hashes(words, size)
         near = np.flatnonzero(self.sieve[(probes >> np.uint64(42)).astype(np.int64)] & whole_windows(row, size))
         low = np.searchsorted(hashes, probes[near], side="left")
         n = np.searchsorted(hashes, probes[near], side="right") - low
         near, low, n = near[n > 0], low[n > 0], n[n > 0]
-        if not len(near):
+        places = self.places[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        return places, np.repeat(near, n)
+
+
+class Block:
+    """Benchmark items of one block with an index of their seeds."""
+
+    def __init__(self, items: list[tuple[int, str]], seed: int):
+        self.seed = seed
+        self.ids = [i for i, _ in items]
+        data, offsets = text_buffer(pa.array([t for _, t in items], pa.large_string()))
+        starts, ends, self.first = word_spans(data, offsets)
+        self.words = word_hashes(data, starts, ends)
+        self.row = rows_of_words(self.first)
+        counts = np.diff(self.first)
+        self.indexes = [Seeds(seed, self.words, np.flatnonzero(whole_windows(self.row, seed)))]
+        for n in range(1, seed):
+            self.indexes.append(Seeds(n, self.words, self.first[:-1][counts == n]))
+
+    def found(self, index: Seeds, words: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(document row, item, seeds as pairs of word numbers) for all that share a seed of an index."""
+        item_at, doc_at = index.pairs(words, row)
+        if not len(item_at):
             return
-        doc_at = np.repeat(near, n)
-        item_at = places[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
         item, doc = self.row[item_at], row[doc_at]
         order = np.lexsort((item, doc))
         item, doc, pairs = item[order], doc[order], np.stack([item_at[order], doc_at[order]], axis=1)
@@ -120,18 +136,20 @@ class Block:
 
     def contaminated(self, words: np.ndarray, first: np.ndarray, coverage: float) -> Iterator[tuple]:
         """(document row, item id, coverage, words, covered, tiles) of the pairs that reach the coverage."""
-        for d, k, pairs in self.found(words, rows_of_words(first)):
-            low, high = int(self.first[k]), int(self.first[k + 1])
-            n = high - low
-            at = np.unique(pairs[:, 0])
-            # Tiles cover at most the union of the seeds; most pairs end here.
-            if np.minimum(np.diff(at, append=at[-1] + self.seed), self.seed).sum() < coverage * n:
-                continue
-            seeds = pairs - np.array([low, first[d]])
-            found = tiles(self.words[low:high], words[first[d] : first[d + 1]], seeds, self.seed)
-            covered = sum(t[2] for t in found)
-            if covered >= coverage * n:
-                yield d, self.ids[k], covered / n, n, covered, found
+        row = rows_of_words(first)
+        for index in self.indexes:
+            for d, k, pairs in self.found(index, words, row):
+                low, high = int(self.first[k]), int(self.first[k + 1])
+                n = high - low
+                at = np.unique(pairs[:, 0])
+                # Tiles cover at most the union of the seeds; most pairs end here.
+                if np.minimum(np.diff(at, append=at[-1] + index.size), index.size).sum() < coverage * n:
+                    continue
+                seeds = pairs - np.array([low, first[d]])
+                found = tiles(self.words[low:high], words[first[d] : first[d + 1]], seeds, index.size)
+                covered = sum(t[2] for t in found)
+                if covered >= coverage * n:
+                    yield d, self.ids[k], covered / n, n, covered, found
 
 
 # ---- the operator --------------------------------------------------------------------------
@@ -159,7 +177,7 @@ def contaminations(
     doc_id, item_id, coverage, n_item_words, n_covered and the tiles (word numbers in item and document).
 
     Words are runs of letters and digits in lower case. Null and empty texts match nothing; items shorter
-    than a seed cannot be told from chance and are not searched. Repeated rows are reported as often as they come. Whole texts are
+    than a seed are found only whole, with all their words in a row. Repeated rows are reported as often as they come. Whole texts are
     read. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normal_words(F.col("text")).alias("text"))
