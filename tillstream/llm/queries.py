@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from tillstream.llm import (
     byte_bpe,
+    centroids,
     chunk_dedup,
     decontamination,
     licenses,
     main_text,
     near_dedup,
     sharding,
+    spelling,
     substring,
     token_files,
     toxicity,
@@ -20,12 +22,14 @@ __all__ = [
     "QUERIES",
     "SQL",
     "byte_bpe",
+    "centroids",
     "chunk_dedup",
     "decontamination",
     "licenses",
     "main_text",
     "near_dedup",
     "sharding",
+    "spelling",
     "substring",
     "token_files",
     "toxicity",
