@@ -10,6 +10,7 @@ from tillstream.llm import (
     licenses,
     main_text,
     near_dedup,
+    set_join,
     sharding,
     spelling,
     substring,
@@ -28,6 +29,7 @@ __all__ = [
     "licenses",
     "main_text",
     "near_dedup",
+    "set_join",
     "sharding",
     "spelling",
     "substring",
