@@ -8,8 +8,9 @@ folds to a narrow one, so long documents are told apart as well as short ones.
 Sets can only link when their sizes are within the ratio of the similarity, so sizes are cut into bands of
 that ratio and a set meets its own band and the next one. Within them, two sets that link share a
 member among the first of each in any fixed order of all shingles (prefix filter). A tile is such a shingle
-and a size band. The order puts shingles of many documents last, so that tiles stay small; it changes which
-sets meet, never which link.
+and a size band. The order is that of the hashes, but among the smallest ones (the region) shingles of many documents
+come last, so that tiles stay small. The order changes which sets meet, never which link. Only the region of a set is
+stored and counted; whole arrays are made again from the texts of those documents that have a candidate.
 
 Equal sets are one node. In a tile every node is compared with one center first, the node that most others meet; nodes that
 this joins to one component need no comparison among themselves. The rest is compared block by block:
@@ -34,11 +35,11 @@ from tillstream.llm.words import mixed, pieces, rows_of_words, text_buffer, whol
 
 #: words of a shingle; percent of the union that the intersection must be
 WORDS, PERCENT = 5, 80
-#: documents of a shingle above which it goes to the end of the order, and how many shingles do at most:
-#: both change the order only, and bound what is broadcast to 8 MB
-HOT, HOT_LIST = 256, 1 << 20
-#: how often the order is refined
-ORDERINGS = 3
+#: share of all hash values that make the region; more than the share of a set that is looked at
+REGION = 0.3
+#: documents of a shingle above which it goes to the end of the region, and how many shingles do at most:
+#: both change the order only, and bound what is broadcast to 9 MB
+HOT, HOT_LIST = 16, 1 << 20
 #: nodes of a tile that are compared within one group, and partners of a node that are verified in one
 BLOCK, PARTNERS = 2048, 4096
 
@@ -76,8 +77,8 @@ def ratio_band(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def bitmap_bits(band: int, percent: int = PERCENT) -> int:
-    """Bits of the bitmaps of a band, a power of two: about twice its sizes."""
-    return max(64, 1 << math.ceil(math.log2(2 * (100 / percent) ** min(band, 200))))
+    """Bits of the bitmaps of a band, a power of two: one to two for each member."""
+    return max(64, 1 << math.ceil(math.log2((100 / percent) ** min(band, 200))))
 
 
 def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
@@ -94,12 +95,30 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
     return words
 
 
-SETS = "row long, doc_id long, key binary, size int, bits binary, items array<long>"
+def prefix_length(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """How many first members of a set must be looked at to find every link."""
+    return size - (percent * size + 99) // 100 + 1
+
+
+#: hash values below this are in the region
+REGION_END = np.int64(int(REGION * (1 << 64)) - (1 << 63))
+
+SETS = "row long, doc_id long, text_hash long, key binary, size int, bits binary, region array<long>"
+
+
+def _key(values: np.ndarray) -> bytes:
+    """What stands for a set: equal for equal sets only."""
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
+def _lists(cuts: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values))
 
 
 def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per input row: its number, doc_id, key (16 bytes that stand for the set), size, bitmap and items."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """One row per input row: its number, doc_id, a hash of the text, key (16 bytes that stand for the set),
+    size, bitmap, and the region: the members below REGION_END, or as many as must be looked at."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,65 +128,79 @@ def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
                 sizes = np.diff(cut)
                 sets = [values[a:b] for a, b in zip(cut, cut[1:])]
                 bands = ratio_band(np.maximum(sizes, 1), percent).tolist()
+                looked = np.where(sizes > 0, prefix_length(sizes, percent), 0)
+                regions = [x[: max(int(np.searchsorted(x, REGION_END)), n)] for x, n in zip(sets, looked.tolist())]
                 columns = [
-                    batch.column("row").slice(low, high - low),
-                    batch.column("doc_id").slice(low, high - low),
-                    pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
+                    *(batch.column(c).slice(low, high - low) for c in ("row", "doc_id", "text_hash")),
+                    pa.array([_key(x) for x in sets], pa.binary()),
                     pa.array(sizes.astype(np.int32)),
                     pa.array([bitmap(x, bitmap_bits(b, percent)).tobytes() for x, b in zip(sets, bands)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(values)),
+                    _lists(np.concatenate([[0], np.cumsum([len(x) for x in regions])]), np.concatenate([*regions, values[:0]])),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "key", "size", "bits", "items"])
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "text_hash", "key", "size", "bits", "region"])
 
     return rows.mapInArrow(make, SETS)
 
 
-# ---- tiles ---------------------------------------------------------------------------------
+def whole_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
+    """row and items (all members, ascending) of the wanted rows of `shingle_sets`, made from their texts again."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    known = wanted.select("row", "key", F.col("doc_id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
+    same = (F.col("text_hash") == F.col("wanted_hash")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
 
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("text"))
+            keys = batch.column("key").to_pylist()
+            for low, high in pieces(offsets):
+                values, cut = distinct_shingles(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], words)
+                good = pa.array([_key(values[a:b]) == k for a, b, k in zip(cut, cut[1:], keys[low:high])])
+                found = pa.RecordBatch.from_arrays([batch.column("row").slice(low, high - low), _lists(cut, values)], names=["row", "items"])
+                yield found.filter(good)
+
+    made = texts.join(known, same).select("row", "key", "text").mapInArrow(make, "row long, items array<long>")
+    return made.groupBy("row").agg(F.first("items").alias("items"))  # repeated rows give one
 
-def prefix_length(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """How many first members of a set must be looked at to find every link."""
-    return size - (percent * size + 99) // 100 + 1
 
+# ---- tiles ---------------------------------------------------------------------------------
 
-def prefixes(sets: DataFrame, hot: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """item, row, size and band of the first members of every set: those not in `hot` (ascending) come first."""
-    sent = sets.sparkSession.sparkContext.broadcast(hot)
+
+def prefixes(sets: DataFrame, hot: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """item, row, size and band of the first members of every set. `hot` (ascending) are shingles that come
+    later in the region, those of a higher level last."""
+    sent = sets.sparkSession.sparkContext.broadcast((hot, level))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = sent.value
+        hot, level = sent.value
         for batch in batches:
-            items = batch.column("items")
-            values = items.flatten().to_numpy()
-            size = np.diff(items.offsets.to_numpy()).astype(np.int64)
-            row = np.repeat(np.arange(len(size)), size)
-            start = np.concatenate([[0], np.cumsum(size)])
-            late = np.zeros(len(values), dtype=bool)
+            region = batch.column("region")
+            values, length = region.flatten().to_numpy(), np.diff(region.offsets.to_numpy()).astype(np.int64)
+            row = np.repeat(np.arange(len(length)), length)
+            late = np.zeros(len(values), dtype=np.int8)
             if len(hot):
-                late = hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] == values
-            early = np.concatenate([[0], np.cumsum(~late)])
-            rank = early[:-1] - early[start[row]]
-            many = early[start[1:]] - early[start[:-1]]
-            rank = np.where(late, many[row] + (np.arange(len(values)) - start[row] - rank), rank)
-            at = np.flatnonzero(rank < prefix_length(size, percent)[row])
+                at = np.minimum(np.searchsorted(hot, values), len(hot) - 1)
+                late = np.where(hot[at] == values, level[at], late)
+            late[values >= REGION_END] = 127
+            order = np.lexsort((values, late, row))
+            size = batch.column("size").to_numpy().astype(np.int64)
+            rank = np.arange(len(values)) - np.repeat(np.cumsum(length) - length, length)
+            at = order[rank < prefix_length(size, percent)[row]]
             rows = batch.column("row").to_numpy()
             columns = [values[at], rows[row[at]], size[row[at]].astype(np.int32), ratio_band(size[row[at]], percent).astype(np.int32)]
             for k in range(0, max(len(at), 1), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)]) for c in columns], names=["item", "row", "size", "band"])
 
-    return sets.select("row", "items").mapInArrow(take, "item long, row long, size int, band int")
+    return sets.select("row", "size", "region").mapInArrow(take, "item long, row long, size int, band int")
 
 
 def meeting_rows(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """item, row, size, band and n (the rows of the item) of all prefix members that several sets have."""
-    hot = np.zeros(0, dtype=np.int64)
-    for ordering in range(ORDERINGS):
-        rows = prefixes(sets, hot, percent)
-        counts = stored(rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
-        crowded = counts.where(F.col("n") > HOT).orderBy(F.col("n").desc(), "item").limit(HOT_LIST).select("item").toArrow()["item"].to_numpy()
-        if ordering == ORDERINGS - 1 or not len(np.setdiff1d(crowded, hot)):
-            return stored(rows.join(counts, "item"), "meetings")
-        hot = np.union1d(hot, crowded)
+    """item, row, size, band and n (the sets that have the item in their region) of all prefix members that
+    several sets have there."""
+    counts = stored(sets.select(F.explode("region").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
+    crowded = counts.where(F.col("n") > HOT).orderBy(F.col("n").desc(), "item").limit(HOT_LIST).toArrow().sort_by("item")
+    level = np.floor(np.log2(np.maximum(crowded["n"].to_numpy(), 1))).astype(np.int8)
+    rows = prefixes(sets, crowded["item"].to_numpy(), level, percent)
+    return stored(rows.join(counts, "item"), "meetings")
 
 
 def tiles(meetings: DataFrame) -> DataFrame:
@@ -201,7 +234,7 @@ def plausible(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.mapInArrow(judge, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of distinct rows whose sets are similar enough, by exact intersection.
 
     Partners of a node a are dealt to groups of at most about PARTNERS; a's array goes to each group once.
@@ -209,7 +242,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("groups"))
     dealt = pairs.join(load, "a").withColumn("deal", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int")).select("a", "deal", "b")
     needed = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    arrays = stored(sets.select("row", "items").join(needed, "row", "left_semi"), "arrays")
+    arrays = stored(whole_sets(docs, sets.join(needed, "row", "left_semi"), words), "arrays")
     own = dealt.select("a", "deal").distinct().withColumn("b", F.col("a"))
     both = own.withColumn("partner", F.lit(False)).unionByName(dealt.withColumn("partner", F.lit(True)))
     both = both.join(arrays.withColumnRenamed("row", "b"), "b").repartition("a", "deal").sortWithinPartitions("a", "deal", "partner")
@@ -323,25 +356,26 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     meetings = meeting_rows(single, percent)
     popular = meetings.groupBy("row").agg(F.sum("n").alias("popularity"))
-    placed = stored(tiles(meetings).join(popular, "row"), "tiles")
     ranked = F.struct("popularity", (-F.col("row")).alias("minus"))
-    centers = placed.where("not guest").groupBy("item", "tile").agg(F.max_by("row", ranked).alias("center"))
-    centers = stored(centers, "centers")
+    owned = meetings.join(popular, "row").groupBy("item", F.col("band").alias("tile"))
+    centers = stored(owned.agg(F.max_by("row", ranked).alias("center")), "centers")
+    placed = tiles(meetings)
     spokes = placed.join(centers, ["item", "tile"]).where("row <> center").select(F.col("center").alias("a"), F.col("row").alias("b")).distinct()
     first = stored(plausible(spokes, single, percent), "spokes")
-    links = stored(verified(first, single, percent), "links")
+    links = stored(verified(first, single, docs, words, percent), "links")
 
-    # Tiles that still hold several components.
+    # Tiles that still hold several components, and more than the center and one partner.
     roots = components(links)
     rooted = placed.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     middle = centers.join(roots.withColumnRenamed("node", "center"), "center", "left")
     middle = middle.select("item", "tile", F.coalesce("root", "center").alias("middle"))
     rooted = stored(rooted.join(middle, ["item", "tile"]).withColumn("main", F.col("root") == F.col("middle")).select("item", "tile", "row", "size", "guest", "root", "main"), "rooted")
-    open_tiles = rooted.groupBy("item", "tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("item", "tile")
+    open_tiles = rooted.groupBy("item", "tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
+    open_tiles = open_tiles.where("low <> high and members > 2").select("item", "tile")
     rest = rooted.join(open_tiles, ["item", "tile"]).join(single.select("row", "bits"), "row")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = stored(compared(blocked(rest), percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(stored(verified(second, single, percent), "links"))
+    links = links.unionByName(stored(verified(second, single, docs, words, percent), "links"))
 
     found = nodes.join(components(links).select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     totals = found.groupBy("root").agg(F.min("least").alias("component"), F.sum("rows").alias("n_rows"))
