@@ -32,16 +32,27 @@ def _moments(frame) -> tuple[Column, Column, Column]:
     return n, F.avg("_value").over(frame), F.var_pop("_value").over(frame) * n
 
 
-def _plain(df: DataFrame, key: str, order: Sequence[str], columns: list[str], threshold: float) -> DataFrame:
+#: the running moments of a row, itself included
+MOMENTS = ("_n", "_mean", "_m2")
+
+
+def merged_moments(n0: Column, mean0: Column, m20: Column, n1: Column, mean1: Column, m21: Column) -> list[Column]:
+    """The moments of two sets of values together; the first one may be empty (0 or NULL)."""
+    n0 = F.coalesce(n0, F.lit(0))
+    n = n0 + n1
+    gap = mean1 - F.coalesce(mean0, F.lit(0.0))
+    mean = F.when(n0 == 0, mean1).otherwise(mean0 + gap * n1 / n)
+    m2 = F.when(n0 == 0, m21).otherwise(m20 + m21 + gap * gap * n0 * n1 / n)
+    return [n.alias("_n"), mean.alias("_mean"), m2.alias("_m2")]
+
+
+def _plain(df: DataFrame, key: str, order: Sequence[str], columns: list[str]) -> DataFrame:
     frame = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     n, mean, m2 = _moments(frame)
-    scored = df.select("*", n.alias("_n"), mean.alias("_mean"), m2.alias("_m2"))
-    return scored.select(*columns, *score_columns(F.col("_n"), F.col("_mean"), F.col("_m2"), F.col("_value"), threshold))
+    return df.select(*columns, n.alias("_n"), mean.alias("_mean"), m2.alias("_m2"))
 
 
-def _sliced(
-    df: DataFrame, key: str, order: Sequence[str], columns: list[str], threshold: float, slices: int
-) -> DataFrame:
+def _sliced(df: DataFrame, key: str, order: Sequence[str], columns: list[str], slices: int) -> DataFrame:
     """Window inside each slice, then add the moments of the key's earlier slices.
 
     Copies of one row would all sort into one slice, so every row gets a number first. The numbered
@@ -79,38 +90,30 @@ def _sliced(
     carried = carried.withColumnsRenamed({key: "_carried_key", "_slice": "_carried_slice"})
     same = F.col(key).eqNullSafe(F.col("_carried_key")) & (F.col("_slice") == F.col("_carried_slice"))
     joined = local.join(carried, same, "left")
-    n0 = F.coalesce("_n0", F.lit(0))
-    n = n0 + F.col("_n1")
-    gap = F.col("_mean1") - F.coalesce("_mean0", F.lit(0.0))
-    mean = F.when(n0 == 0, F.col("_mean1")).otherwise(F.col("_mean0") + gap * F.col("_n1") / n)
-    m2 = F.when(n0 == 0, F.col("_m21")).otherwise(
-        F.col("_m20") + F.col("_m21") + gap * gap * n0 * F.col("_n1") / n
-    )
-    merged = joined.select("*", n.alias("_n"), mean.alias("_mean"), m2.alias("_m2"))
-    return merged.select(*columns, *score_columns(F.col("_n"), F.col("_mean"), F.col("_m2"), F.col("_value"), threshold))
+    moments = merged_moments(*[F.col(c) for c in ("_n0", "_mean0", "_m20", "_n1", "_mean1", "_m21")])
+    return joined.select(*columns, *moments)
 
 
-def running_zscore(
+def running_moments(
     df: DataFrame,
     key: str = "user_id",
     order: Sequence[str] = ("timestamp", "txn_id"),
     value: str = "amount",
-    threshold: float = 3.0,
     hot_rows: int = HOT_ROWS,
     slices: int | None = None,
 ) -> DataFrame:
-    """Score each row against its key's running mean and deviation, the row included.
+    """Input columns plus `_value` (the value, 0 if missing) and the running MOMENTS of the row's key.
 
-    A missing value counts as 0. Keys with more than `hot_rows` rows are spread over slices of the
-    event order; all others take one window. At most `rows / hot_rows` keys can be hot.
+    Keys with more than `hot_rows` rows are spread over slices of the event order; all others take one window. At
+    most `rows / hot_rows` keys can be hot.
     """
-    columns = list(df.columns)
     rows = df.withColumn("_value", F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
+    columns = list(rows.columns)
     counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
     hot = counts.where(F.col("_rows") > hot_rows)
     found = hot.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
-        return _plain(rows, key, order, columns, threshold)
+        return _plain(rows, key, order, columns)
     spark = df.sparkSession
     if len(found) <= MAX_BROADCAST_KEYS:
         hot_total = sum(r["_rows"] for r in found)
@@ -121,6 +124,45 @@ def running_zscore(
     slices = slices or slices_for(spark, hot_total, hot_rows)
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     cold_rows, hot_part = rows.join(hot, is_hot, "left_anti"), rows.join(hot, is_hot, "left_semi")
-    return _plain(cold_rows, key, order, columns, threshold).unionByName(
-        _sliced(hot_part, key, order, columns, threshold, slices)
-    )
+    return _plain(cold_rows, key, order, columns).unionByName(_sliced(hot_part, key, order, columns, slices))
+
+
+def running_zscore(
+    df: DataFrame,
+    key: str = "user_id",
+    order: Sequence[str] = ("timestamp", "txn_id"),
+    value: str = "amount",
+    threshold: float = 3.0,
+    hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
+) -> DataFrame:
+    """Score each row against its key's running mean and deviation, the row included; see `running_moments`."""
+    rows = running_moments(df, key, order, value, hot_rows, slices)
+    return rows.select(*df.columns, *score_columns(*[F.col(c) for c in (*MOMENTS, "_value")], threshold))
+
+
+def totals_per_key(df: DataFrame, key: str = "user_id", value: str = "amount") -> DataFrame:
+    """key and the MOMENTS of all its rows, partial before the shuffle."""
+    x = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+    totals = df.groupBy(key).agg(F.count("*").alias("_n"), F.avg(x).alias("_mean"), F.var_pop(x).alias("_var"))
+    return totals.select(key, "_n", "_mean", (F.col("_var") * F.col("_n")).alias("_m2"))
+
+
+def continued_zscore(
+    df: DataFrame,
+    before: DataFrame,
+    key: str = "user_id",
+    order: Sequence[str] = ("timestamp", "txn_id"),
+    value: str = "amount",
+    threshold: float = 3.0,
+    hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
+) -> DataFrame:
+    """`running_zscore` of rows that go on from earlier ones: `before` holds the MOMENTS of each key's earlier
+    rows, one row per key; a key that is not in it starts anew."""
+    rows = running_moments(df, key, order, value, hot_rows, slices)
+    start = before.select(F.col(key).alias("_start"), *[F.col(c).alias(f"{c}0") for c in MOMENTS])
+    joined = rows.join(start, F.col(key).eqNullSafe(F.col("_start")), "left")
+    merged = merged_moments(*[F.col(f"{c}0") for c in MOMENTS], *[F.col(c) for c in MOMENTS])
+    joined = joined.select(*df.columns, "_value", *merged)
+    return joined.select(*df.columns, *score_columns(*[F.col(c) for c in (*MOMENTS, "_value")], threshold))

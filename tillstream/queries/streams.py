@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.queries.registry import LIVE, SCORED, money_sum, query, rounded
+from tillstream.functions.money import round_steady
+from tillstream.queries.registry import LIVE, SCORED, money_sum, query, rounded, steady
 from tillstream.session import scratch_path
 from tillstream.sources import codecs
 from tillstream.sources.datasets import (
@@ -15,7 +16,8 @@ from tillstream.sources.datasets import (
     table,
     transactions_from_events,
 )
-from tillstream.streaming import feeds, jobs
+from tillstream.streaming import fanout, feeds, gate, hot_scoring, jobs
+from tillstream.streaming.recovery import stored_moments
 from tillstream.streaming.windows import spend_windows
 
 
@@ -66,23 +68,6 @@ def _(spark, sf):
     return _stored(spark, f"{run_scoring(spark, sf)}/anomalies", "txn_id", "user_id", "z_score")
 
 
-@query(
-    "s5_fan_out",
-    f"""with {SCORED} select 'transactions_enriched' as topic, count(*) as n_rows, count(distinct user_id) as n_users from scored
-        union all select 'anomalies', count(*), count(distinct user_id) from scored where is_anomaly""",
-)
-def _(spark, sf):
-    root = run_scoring(spark, sf)
-    sides = {"transactions_enriched": f"{root}/enriched", "anomalies": f"{root}/anomalies"}
-    counts = [
-        spark.read.parquet(path).agg(
-            F.lit(topic).alias("topic"), F.count("*").alias("n_rows"), F.count_distinct("user_id").alias("n_users")
-        )
-        for topic, path in sides.items()
-    ]
-    return counts[0].unionAll(counts[1])
-
-
 _CLOSED = f"""with {LIVE}, spend as (
     select user_id, date_trunc('day', "timestamp") as window_start,
            date_trunc('day', "timestamp") + interval 1 day as window_end, count(*) as txn_count,
@@ -103,22 +88,6 @@ def stream_daily(spark, sf):
     return _stored(spark, f"{run_daily(spark, sf)}/spend").drop("batch_id")
 
 
-@query("x1_watermark", f"select max(window_end) as last_closed, count(*) as n_windows from ({_CLOSED})")
-def _(spark, sf):
-    closed = _stored(spark, f"{run_daily(spark, sf)}/spend")
-    return closed.agg(F.max("window_end").alias("last_closed"), F.count("*").alias("n_windows"))
-
-
-@query("x5_checkpoint_recovery", f"with {SCORED} select txn_id, user_txn_count, z_score from scored")
-def _(spark, sf):
-    """Stopped and started again from its checkpoint: nothing is scored twice, counts continue."""
-    root = scratch_path(spark, "recovery")
-    paths = [f"{root}/{n}" for n in ("enriched", "anomalies", "checkpoint")]
-    for _run in range(2):
-        jobs.score_transactions(topic_feed(spark, sf), *paths).awaitTermination()
-    return _stored(spark, paths[0], "txn_id", "user_txn_count", "z_score")
-
-
 @query(
     "x6_partition_by_key",
     f"with {SCORED} select user_id, max(user_txn_count) as n_rows, count(*) as n_seen from scored group by 1",
@@ -167,3 +136,237 @@ def _(spark, sf):
         text.write.mode("append").text(f"{root}/feed")
     jobs.store_daily(feeds.text_feed(spark, f"{root}/feed"), f"{root}/table", f"{root}/checkpoint").awaitTermination()
     return _stored(spark, f"{root}/table", "user_id", "window_start", "txn_count", "total_spend")
+
+
+# ---- three micro-batches, with impossible times and late rows ------------------------------
+
+#: days at which a slice of the events ends
+_SLICE_ENDS = ("2024-01-11", "2024-01-21")
+
+#: the events in three slices: one in 50 arrives a slice late, one in 97 with its time in milliseconds
+SLICED = LIVE.replace("as location_lon\n", "as location_lon, event_id\n") + f""", cut as (
+  select *, case when "timestamp" < timestamp '{_SLICE_ENDS[0]}' then 0 when "timestamp" < timestamp '{_SLICE_ENDS[1]}' then 1 else 2 end as slice
+  from live
+), arrived as (
+  select * exclude (slice), case when event_id % 50 = 0 then least(slice + 1, 2) else slice end as arrival from cut
+), good as (
+  select * from arrived where event_id % 97 <> 0
+), highs as (
+  select b.arrival, max(a."timestamp") as high from good a join (select distinct arrival from good) b on a.arrival < b.arrival group by 1
+), judged as (
+  select good.*, coalesce(date_trunc('day', "timestamp") + interval 1 day <= high - interval 5 second, false) as is_late
+  from good left join highs using (arrival)
+), moments as (
+  select *, count(*) over w as n, avg(amount) over w as mean, stddev_samp(amount) over w as sd
+  from judged
+  window w as (partition by user_id order by arrival, "timestamp", txn_id rows between unbounded preceding and current row)
+), scored as (
+  select * exclude (n, mean, sd), n as user_txn_count, {steady("mean", 2)} as user_running_mean,
+         {steady("(case when sd > 0 then (amount - mean) / sd else 0 end)", 4)} as z_score,
+         coalesce(abs(case when sd > 0 then (amount - mean) / sd else 0 end) > 3, false) as is_anomaly
+  from moments
+), spend as (
+  select user_id, date_trunc('day', "timestamp") as window_start, date_trunc('day', "timestamp") + interval 1 day as window_end,
+         count(*) as txn_count, {money_sum("amount")} as total_spend, {rounded(f"{money_sum('amount')} / count(*)", 2)} as avg_spend
+  from judged where not is_late group by 1, 2, 3
+), closed as (
+  select * from spend where window_end <= (select max("timestamp") - interval 5 second from good)
+)"""
+
+
+def arrivals(spark, sf):
+    """value (the JSON text of an event) and arrival (the slice it comes with)."""
+    events = table(spark, sf, "events").select("*", F.col("ts").alias("timestamp"))
+    ends = [F.lit(day).cast("timestamp_ntz") for day in _SLICE_ENDS]
+    part = F.when(F.col("ts") < ends[0], 0).when(F.col("ts") < ends[1], 1).otherwise(2)
+    arrival = F.when(F.col("event_id") % 50 == 0, F.least(part + 1, F.lit(2))).otherwise(part)
+    event_id = F.col("event_id")
+    rows = transactions_from_events(events.select("*", arrival.alias("arrival")), "arrival", "event_id")
+    millis = F.unix_millis(F.col("timestamp").cast("timestamp")).cast("string")
+    text = F.when(event_id % 97 == 0, millis).otherwise(codecs.iso_text("timestamp"))
+    rows = rows.withColumn("timestamp", text)
+    fields = [c for c in rows.columns if c not in ("arrival", "event_id")]
+    return rows.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"), "arrival")
+
+
+def run_slices(spark, sf, after_slice=None) -> str:
+    """Let the slices arrive one by one; the gate is stopped and started again between them, as is what
+    follows it. Returns the folder of the gate."""
+    root = scratch_path(spark, "slices")
+    texts = arrivals(spark, sf)
+    for number in range(len(_SLICE_ENDS) + 1):
+        texts.where(F.col("arrival") == number).select("value").write.mode("append").text(f"{root}/feed")
+        feed = feeds.text_feed(spark, f"{root}/feed")
+        gate.clean_transactions(feed, f"{root}/gate", f"{root}/gate-checkpoint").awaitTermination()
+        if after_slice:
+            schema = spark.read.parquet(f"{root}/gate/clean").drop(gate.BATCH).schema
+            after_slice(feeds.parquet_feed(spark, f"{root}/gate/clean", schema), root, number)
+    return root
+
+
+@query(
+    "s3_time_gate",
+    f"""with {SLICED} select arrival as batch_id, txn_id, "timestamp", is_late from judged""",
+)
+def _(spark, sf):
+    """What the gate lets through of three slices, with what it finds late."""
+    clean = _stored(spark, f"{run_slices(spark, sf)}/gate/clean")
+    return clean.select(F.col("batch_id").cast("int").alias("batch_id"), "txn_id", "timestamp", "is_late")
+
+
+@query(
+    "s3_quarantine",
+    f"""with {SLICED} select arrival as batch_id, 'impossible time' as reason, txn_id from arrived where event_id % 97 = 0""",
+)
+def _(spark, sf):
+    """The texts whose time is in milliseconds."""
+    bad = _stored(spark, f"{run_slices(spark, sf)}/gate/quarantine")
+    txn = F.get_json_object("value", "$.txn_id").alias("txn_id")
+    return bad.select(F.col("batch_id").cast("int").alias("batch_id"), "reason", txn)
+
+
+def _closed_windows(spark, sf):
+    def roll_up(clean, root, _number):
+        jobs.roll_up_clean(clean, f"{root}/spend", f"{root}/spend-checkpoint").awaitTermination()
+
+    return run_slices(spark, sf, roll_up)
+
+
+@query("x2_daily_slices", f"with {SLICED} select * from closed")
+def _(spark, sf):
+    """Closed windows of three slices with impossible times and late rows among them."""
+    return _stored(spark, f"{_closed_windows(spark, sf)}/spend").drop("batch_id")
+
+
+@query(
+    "x1_watermark",
+    f"""with {SLICED} select 'closed' as part, cast(window_start as date) as day, count(*) as n_rows, sum(txn_count) as n_txns from closed group by 2
+        union all select 'late', cast("timestamp" as date), count(*), count(*) from judged where is_late group by 2""",
+)
+def _(spark, sf):
+    """Rows that came after their window had closed are counted apart; the closed windows do not change."""
+    root = _closed_windows(spark, sf)
+    closed = _stored(spark, f"{root}/spend").groupBy(F.to_date("window_start").alias("day"))
+    closed = closed.agg(F.count("*").alias("n_rows"), F.sum("txn_count").alias("n_txns"))
+    late = _stored(spark, f"{root}/gate/late").groupBy(F.to_date("timestamp").alias("day")).agg(F.count("*").alias("n_rows"))
+    late = late.withColumn("n_txns", F.col("n_rows"))
+    return closed.select(F.lit("closed").alias("part"), "*").unionByName(late.select(F.lit("late").alias("part"), "*"))
+
+
+def _scored_slices(spark, sf, crash_at=None) -> str:
+    """Score the slices; with `crash_at` the write of that slice's first micro-batch fails once, after the
+    rows were scored and before they were committed."""
+
+    def score(clean, root, number):
+        job = jobs.score_clean
+        paths = [f"{root}/{n}" for n in ("enriched", "anomalies", "score-checkpoint")]
+        if number == crash_at:
+            failing = jobs.score_clean(clean.drop("is_late"), *paths, before_commit=_crash)
+            try:
+                failing.awaitTermination()
+            except Exception as error:  # the job's own failure
+                if "stopped in the middle" not in str(error):
+                    raise
+        job(clean.drop("is_late"), *paths).awaitTermination()
+
+    return run_slices(spark, sf, score)
+
+
+def _crash(batch_id: int) -> None:
+    raise RuntimeError(f"stopped in the middle of micro-batch {batch_id}")
+
+
+_SLICED_SCORES = [*_SCORED_COLUMNS]
+
+
+@query("x3_score_slices", f"with {SLICED} select {_SCORED_LIST} from scored")
+def _(spark, sf):
+    """Scores of three slices: the statistics go on from one to the next, late rows are scored on arrival."""
+    return _stored(spark, f"{_scored_slices(spark, sf)}/enriched", *_SLICED_SCORES)
+
+
+@query(
+    "x3_hot_key",
+    f"""with {SLICED}, by_currency as (
+          select *, count(*) over w as k, avg(amount) over w as m, stddev_samp(amount) over w as s from judged
+          window w as (partition by currency order by arrival, "timestamp", txn_id rows between unbounded preceding and current row))
+        select txn_id, currency, k as user_txn_count, {steady("m", 2)} as user_running_mean,
+               {steady("(case when s > 0 then (amount - m) / s else 0 end)", 4)} as z_score from by_currency""",
+)
+def _(spark, sf):
+    """Scores by currency, four keys for all rows: each is spread over slices of a micro-batch, and the
+    stored moments carry it into the next."""
+
+    def score(clean, root, _number):
+        rows = clean.drop("is_late")
+        job = hot_scoring.score_hot(rows, f"{root}/hot", f"{root}/hot-checkpoint", key="currency", hot_rows=500)
+        job.awaitTermination()
+
+    stored = _stored(spark, f"{run_slices(spark, sf, score)}/hot/scored")
+    return stored.select("txn_id", "currency", "user_txn_count", "user_running_mean", "z_score")
+
+
+@query("x5_checkpoint_recovery", f"with {SLICED} select {_SCORED_LIST} from scored")
+def _(spark, sf):
+    """The job fails in the middle of its second slice and goes on from its checkpoint: no row is missing, none twice."""
+    return _stored(spark, f"{_scored_slices(spark, sf, crash_at=1)}/enriched", *_SLICED_SCORES)
+
+
+@query(
+    "x5_stored_moments",
+    f"""with {SLICED} select user_id, count(*) as n, {steady("avg(amount)", 2)} as mean,
+               {steady("var_pop(amount) * count(*)", 2)} as m2 from good group by 1""",
+)
+def _(spark, sf):
+    """The state that the job holds after a failure and a restart, read from its checkpoint."""
+    moments = stored_moments(spark, f"{_scored_slices(spark, sf, crash_at=1)}/score-checkpoint")
+    return moments.select("user_id", "n", round_steady(F.col("mean"), 2).alias("mean"), round_steady(F.col("m2"), 2).alias("m2"))
+
+
+@query(
+    "s5_fan_out",
+    f"""with {SLICED}
+        select 'transactions_enriched' as topic, user_id, txn_id as ref, "timestamp", user_txn_count as n, amount,
+               user_running_mean as mean, z_score, is_anomaly from scored
+        union all select 'anomalies', user_id, txn_id, "timestamp", user_txn_count, amount, user_running_mean, z_score, null
+          from scored where is_anomaly
+        union all select 'daily_spend', user_id, cast(epoch_ms(window_end) as varchar), window_start, txn_count, total_spend, avg_spend, null, null
+          from closed""",
+)
+def _(spark, sf):
+    """All rows of the three topics, sent over three slices; between two topics of the second slice the job
+    fails once and is started again."""
+
+    def send_all(clean, root, number):
+        sink, crashed = fanout.folder_sink(f"{root}/topics"), []
+
+        def send(rows, topic, batch_id):
+            if number == 1 and topic == fanout.ANOMALIES and not crashed:
+                crashed.append(batch_id)
+                _crash(batch_id)
+            sink(rows, topic, batch_id)
+
+        for _attempt in range(2):
+            try:
+                fanout.fan_out(clean, send, f"{root}/fan-checkpoint").awaitTermination()
+                break
+            except Exception as error:
+                if "stopped in the middle" not in str(error):
+                    raise
+
+    root = run_slices(spark, sf, send_all)
+    out = None
+    for topic in (fanout.ENRICHED, fanout.ANOMALIES):
+        rows, _bad = codecs.decode_enriched(spark.read.parquet(f"{root}/topics/{topic}").select("value"))
+        rows = rows.select(
+            F.lit(topic).alias("topic"), "user_id", F.col("txn_id").alias("ref"), F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+            F.col("user_txn_count").alias("n"), "amount", F.col("user_running_mean").alias("mean"), "z_score", "is_anomaly",
+        )
+        out = rows if out is None else out.unionByName(rows)
+    daily, _bad = codecs.decode_daily(spark.read.parquet(f"{root}/topics/{fanout.DAILY}").select("value"))
+    daily = daily.select(
+        F.lit(fanout.DAILY).alias("topic"), "user_id", F.unix_millis("window_end").cast("string").alias("ref"),
+        F.col("window_start").cast("timestamp_ntz").alias("timestamp"), F.col("txn_count").alias("n"), F.col("total_spend").alias("amount"),
+        F.col("avg_spend").alias("mean"), F.lit(None).cast("double").alias("z_score"), F.lit(None).cast("boolean").alias("is_anomaly"),
+    )
+    return out.unionByName(daily)

@@ -34,19 +34,21 @@ def _split(decoded: DataFrame, usable: Column, shape: list[Column], column: str)
     return decoded.where(good).select(*shape), decoded.where(~good).select(column)
 
 
-def parse_transactions(df: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(transactions with a typed event time, quarantined texts). A record needs a user."""
+def parse_transactions(df: DataFrame, column: str = "value", keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(transactions with a typed event time, quarantined texts). A record needs a user. `keep_text` leaves the
+    text in a last column of the transactions."""
     decoded = decode_json(df, TRANSACTION_JSON, column)
     fields = [
         (event_time("record.timestamp") if f.name == "timestamp" else F.col(f"record.{f.name}")).alias(f.name)
         for f in TRANSACTION_JSON.fields
     ]
+    fields += [F.col(column)] if keep_text else []
     return _split(decoded, F.col("record.user_id").isNotNull(), fields, column)
 
 
-def decode_enriched(df: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+def decode_enriched(df: DataFrame, column: str = "value", keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """(scored transactions, quarantined texts). A timestamp that cannot be read is quarantined; a
-    missing one stays NULL and a numeric one is seconds."""
+    missing one stays NULL and a numeric one is seconds. `keep_text` as in `parse_transactions`."""
     decoded = decode_json(df, ENRICHED_JSON, column)
     text = F.col("record.timestamp")
     seconds = text.try_cast("double")
@@ -54,6 +56,7 @@ def decode_enriched(df: DataFrame, column: str = "value") -> tuple[DataFrame, Da
     fields = [
         (ts if f.name == "timestamp" else F.col(f"record.{f.name}")).alias(f.name) for f in ENRICHED_JSON.fields
     ]
+    fields += [F.col(column)] if keep_text else []
     return _split(decoded, text.isNull() | ts.isNotNull(), fields, column)
 
 

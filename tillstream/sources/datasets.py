@@ -45,8 +45,8 @@ def _padded(prefix: str, number: Column, digits: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(digits), F.length(text)), F.lit("0")))
 
 
-def transactions_from_events(events: DataFrame) -> DataFrame:
-    """Live transactions; also works on a stream of events."""
+def transactions_from_events(events: DataFrame, *keep: str) -> DataFrame:
+    """Live transactions, with the columns to `keep`; also works on a stream of events."""
     k = F.get_json_object("props", "$.k").cast("int")
     user, event = F.col("user_id"), F.col("event_id")
     status = F.when(event % 20 < 18, STATUSES[0]).when(event % 20 == 18, STATUSES[1]).otherwise(STATUSES[2])
@@ -63,6 +63,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         F.struct(
             ((k * 7) % 181 - 90).cast("double").alias("lat"), ((k * 13) % 361 - 180).cast("double").alias("lon")
         ).alias("location"),
+        *keep,
     )
 
 
