@@ -123,3 +123,50 @@ def test_stats_and_materialize(spark, tmp_path):
     assert spark.table("a_model").count() == 1
     stores.materialize(spark.table("a_model").select(F.lit(1)), "a_view")
     assert spark.table("a_view").first()[0] == 1
+
+
+def scanned_rows(df):
+    """Rows that the scans of a plan without exchanges put out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_a_look_up_reads_few_row_groups(spark, tmp_path, rows):
+    path, n = str(tmp_path / "t"), 40_000
+    ids = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("txn_id"), F.lit(at(1)).alias("timestamp"), F.rand(1).alias("amount"))
+    stores.write_by_day(ids.withColumn(stores.DAY, F.to_date("timestamp")), path, key="txn_id", row_group_bytes=100_000)
+    stored = spark.read.parquet(path)
+    wanted = [r[0] for r in ids.select("txn_id").limit(3).collect()]
+    batch = spark.createDataFrame([(w,) for w in [*wanted, "unknown", "unknown"]], "txn_id string")
+    found = stores.stored_ids(stored, batch, "txn_id")
+    assert rows(found, "txn_id") == sorted((w,) for w in wanted)
+    few = stored.select("txn_id").where(F.col("txn_id").isin(wanted))
+    nothing = stored.select("txn_id").where(F.col("txn_id").isin("7unknown", "cunknown"))  # inside the range of every file
+    assert scanned_rows(few) < n / 3 and scanned_rows(nothing) == 0
+    plan = found._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(txn_id" in plan or "PushedFilters: [Or(" in plan
+
+
+def test_look_ups_of_any_size_agree(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(f"t{i:03d}", at(1 + i % 3), float(i)) for i in range(40)], SCHEMA)
+    stores.append_dedup(first, path)
+    more = spark.createDataFrame([(f"t{i:03d}", at(9), 0.0) for i in range(30, 60)] + [(None, at(1), 1.0)], SCHEMA)
+    expected = [(f"t{i:03d}",) for i in range(30, 40)]
+    stored = spark.read.parquet(path)
+    for pushed, broadcast in ((200, 500), (2, 500), (2, 3)):
+        monkeypatch.setattr(stores, "MAX_PUSHED_IDS", pushed)
+        monkeypatch.setattr(stores, "MAX_BROADCAST_IDS", broadcast)
+        assert rows(stores.stored_ids(stored, more.where("txn_id is not null"), "txn_id"), "txn_id") == expected
+    assert stores.stored_ids(stored, more.limit(0), "txn_id").collect() == []
+    stores.append_dedup(more, path)
+    assert stores.read_by_day(spark, path).count() == 60
+
+
+def test_rows_without_a_time_are_not_stored_again(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    batch = spark.createDataFrame([("a", None, 1.0), ("b", at(1), 2.0)], SCHEMA)
+    for _copy in range(3):
+        stores.append_dedup(batch, path, whole_table=False)
+    assert rows(stores.read_by_day(spark, path), "txn_id") == [("a",), ("b",)]

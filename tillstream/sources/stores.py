@@ -7,6 +7,7 @@ over by passing another `merge` function.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,12 @@ from tillstream.session import file_system, scratch_path
 DAY = "event_date"
 #: most ids of a batch that are broadcast
 MAX_BROADCAST_IDS = 500_000
+#: most ids of a batch that go to the scan as values, where Parquet's Bloom filters skip row groups without them
+MAX_PUSHED_IDS = 200
+#: values of one IN list; Spark hands longer lists to Parquet as a range only
+IN_LIST = 10
+#: ids a row group's Bloom filter is made for
+BLOOM_IDS = 1_000_000
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -49,11 +56,19 @@ def _folder(path: str, day) -> str:
     return f"{path}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
 
 
-def write_by_day(df: DataFrame, path: str, mode: str = "append", needed: list | None = None) -> None:
+def write_by_day(
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    needed: list | None = None,
+    key: str | None = None,
+    row_group_bytes: int | None = None,
+) -> None:
     """Write partitioned by `event_date`. The rebalance lets AQE split a heavy day over several
     files and merge light ones, instead of one file per task and day.
 
-    `needed` (date, files) fixes how many files a date gets at most instead.
+    `needed` (date, files) fixes how many files a date gets at most instead. With a `key`, files are sorted by it and
+    each row group has a Bloom filter of it, so that `stored_ids` reads only the row groups that may hold an id.
     """
     dealt = df.hint("rebalance", DAY)
     if needed is not None:
@@ -61,7 +76,14 @@ def write_by_day(df: DataFrame, path: str, mode: str = "append", needed: list |
         dealt = df.join(F.broadcast(files), F.col(DAY).eqNullSafe(F.col("_day")))
         dealt = dealt.withColumn("_file", F.pmod(F.xxhash64(*df.columns), F.col("_files")))
         dealt = dealt.repartition(max(1, sum(r[1] for r in needed)), DAY, "_file").drop("_day", "_files", "_file")
+    if key is not None:
+        dealt = dealt.sortWithinPartitions(DAY, key)
     writer = dealt.write.mode(mode).partitionBy(DAY)
+    if key is not None:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key}", str(BLOOM_IDS))
+    if row_group_bytes is not None:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -86,15 +108,24 @@ def append_dedup(
     if has_table(spark, path):
         stored = spark.read.parquet(path)
         if not whole_table:
-            stored = stored.where(F.col(DAY).isin(_days(keyed)))
-        fresh = fresh.join(_known_ids(stored, fresh, key), key, "left_anti")
-    write_by_day(fresh, path)
+            stored = stored.where(_in_days(_days(keyed)))
+        fresh = fresh.join(stored_ids(stored, keyed, key), key, "left_anti")
+    write_by_day(fresh, path, key=key)
 
 
-def _known_ids(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """The batch's ids that are stored already. A batch of few ids is sent to the scan of the id
-    column, so the stored table is not shuffled."""
-    ids = batch.select(key)
+def stored_ids(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The batch's ids that are stored already; one pass over the batch finds how many ids it has.
+
+    Few ids go to the scan as values: row groups whose Bloom filter has none of them are not read. More are
+    sent to the scan of the id column as a table, so the stored table is not shuffled; a batch larger than what
+    may be broadcast is joined by a shuffle. The result is the same.
+    """
+    ids = batch.select(key).distinct()
+    few = [r[0] for r in ids.limit(MAX_PUSHED_IDS + 1).collect()]
+    if len(few) <= MAX_PUSHED_IDS:
+        lists = [F.col(key).isin(few[k : k + IN_LIST]) for k in range(0, len(few), IN_LIST)]
+        asked = functools.reduce(lambda a, b: a | b, lists) if lists else F.lit(False)
+        return stored.select(key).where(asked).distinct()
     if ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
     return stored.select(key).join(ids, key, "left_semi").distinct()
