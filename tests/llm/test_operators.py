@@ -223,7 +223,6 @@ def test_packing(bits):
 
 def test_token_files(spark, docs, no_docs, tmp_path):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     odd = [(20, "É É H̱ Å.,! it's <|endoftext|> IİΣς ﬁ"), (21, "don't... stop!Now 12.5,x")]
     rows = given(docs) + odd
     folder = str(tmp_path / "tokens")

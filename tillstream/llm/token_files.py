@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import functools
 import itertools
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,12 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillstream.llm.registry import parts_for, query, table
+from tillstream.llm.words import pieces, text_buffer
 from tillstream.session import scratch_path
 
 MAGIC = b"TBP1"
@@ -40,8 +41,12 @@ HEADER = struct.Struct("<4sIQQQ")
 PAGE_IDS = 1 << 19
 #: text bytes of a range of documents
 PART_BYTES = 32 << 20
-#: chunks whose ids a worker remembers; beyond it the memory is emptied, which costs time only
-MEMO_CHUNKS = 600_000
+#: text bytes that are encoded at once; a longer text is encoded alone
+SLICE_BYTES = 2 << 20
+#: bytes a worker uses to remember the ids of chunks, and what an entry takes beside its content
+MEMO_BYTES, ENTRY_BYTES = 48 << 20, 180
+#: parts that go through the library as one text
+GROUP = 512
 PAGES = "part int, page int, doc_ids array<long>, n_tokens array<long>, content binary"
 
 
@@ -105,62 +110,145 @@ def read_ids(content: bytes, low: int = 0, high: int | None = None) -> np.ndarra
 
 @functools.cache
 def tokenizer(path: str) -> Tokenizer:
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found
+    return Tokenizer.from_file(path)
 
 
 @functools.cache
-def _memo(path: str) -> dict[bytes, bytes]:
-    return {}
+def _specials(path: str) -> dict[str, int]:
+    """The strings that the tokenizer takes out of a text before all else, and their ids."""
+    return {t.content: i for i, t in tokenizer(path).get_added_tokens_decoder().items()}
 
 
-@functools.cache
-def _ends_word(path: str) -> np.ndarray:
-    """Which ids end a word."""
-    words = tokenizer(path).get_vocab(with_added_tokens=False)
-    out = np.zeros(max(words.values()) + 1 + 64, dtype=bool)
-    out[[i for w, i in words.items() if w.endswith("</w>")]] = True
-    return out
+class Memory:
+    """Ids of parts that came before, in two generations: when the younger is full it becomes the older, whose
+    entries are forgotten unless they are asked for again. So the bytes held are bounded and frequent parts stay."""
+
+    def __init__(self, limit: int = MEMO_BYTES):
+        self.limit, self.held = limit // 2, 0
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def find(self, parts: list[bytes]) -> list[bytes | None]:
+        found = list(map(self.young.get, parts))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            found[k] = self.old.get(parts[k])
+            if found[k] is not None:
+                self.put(parts[k], found[k])
+        return found
 
+    def put(self, part: bytes, ids: bytes) -> None:
+        self.young[part] = ids
+        self.held += len(part) + len(ids) + ENTRY_BYTES
+        if self.held > self.limit:
+            self.young, self.old, self.held = {}, self.young, 0
 
-#: a letter or digit before closing punctuation: the tokenizer always splits there
-_CLOSING = re.compile(rb"([A-Za-z0-9])([.,;:!?]+)(?=[ \t-\r]|$)")
-
-
-def _chunks(text: bytes) -> list[bytes]:
-    """The text between ASCII blanks. The tokenizer lower-cases, drops white space and splits before
-    closing punctuation, so doing that first leaves its ids as they are and fewer distinct chunks.
-    Lower-casing comes after composition there, so texts with combining marks keep their case."""
-    if b"\xcc" not in text and b"\xcd" not in text:
-        text = text.lower()
-    return _CLOSING.sub(rb"\1 \2", text).split()
-
-
-def encode_raw(texts: list[bytes], path: str) -> list[np.ndarray]:
-    """Ids of UTF-8 texts. The tokenizer drops white space before it merges, so a text's ids are those
-    of its chunks between blanks, and each distinct chunk goes through the library once."""
-    memo = _memo(path)
-    if len(memo) > MEMO_CHUNKS:
-        memo.clear()
-    chunks = [_chunks(t) for t in texts]
-    new = [c.decode() for c in set(itertools.chain.from_iterable(chunks)).difference(memo)]
-    # A chunk of letters is one piece to the merges, and only the last id of a piece ends a word, so many
-    # such chunks go through the library as one text.
-    letters = [c for c in new if c.isalpha()]
-    groups = [letters[k : k + 512] for k in range(0, len(letters), 512)]
-    single = [c for c in new if not c.isalpha()]
-    for group, found in zip(groups, tokenizer(path).encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+
+@functools.cache
+def _memory(path: str) -> Memory:
+    return Memory()
+
+
+def _bytes_of(text: bytes) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[list(text)] = True
+    return table
+
+
+_UPPER, _CLOSERS = _bytes_of(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _bytes_of(b".,;:!?")
+_ALNUM = _bytes_of(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+_BLANKS = _bytes_of(b" \t\n\v\f\r")
+#: first bytes of combining marks in UTF-8
+_COMBINING = _bytes_of(b"\xcc\xcd")
+
+
+def simplified(data: np.ndarray, offsets: np.ndarray, as_is: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts of a buffer with A-Z in lower case and a blank before closing punctuation: the tokenizer does
+    the same, so its ids stay and fewer distinct parts are left. It composes characters before it lower-cases,
+    so texts with combining marks, and those that `as_is` names, keep their case."""
+    keep = as_is.copy()
+    keep[np.searchsorted(offsets, np.flatnonzero(_COMBINING[data]), side="right") - 1] = True
+    lowered = data + (_UPPER[data] * np.uint8(32))
+    for k in np.flatnonzero(keep).tolist():
+        lowered[offsets[k] : offsets[k + 1]] = data[offsets[k] : offsets[k + 1]]
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[offsets] = True
+    closer = np.zeros(len(data) + 2, dtype=bool)
+    closer[1:-1] = _CLOSERS[data]
+    start = np.flatnonzero(closer[1:-1] & (~closer[:-2] | edge[:-1]))
+    end = np.flatnonzero(closer[1:-1] & (~closer[2:] | edge[1:])) + 1
+    after = edge[end] | _BLANKS[data[np.minimum(end, len(data) - 1)]] if len(data) else edge[end]
+    at = start[(start > 0) & ~edge[start] & after & _ALNUM[data[start - 1]]]
+    return np.insert(lowered, at, np.uint8(32)), offsets + np.searchsorted(at, offsets)
+
+
+def _encode_parts(parts: list[bytes], path: str) -> dict[bytes, bytes]:
+    """Ids of parts without blanks and special strings. Many go through the library as one text with a special
+    string between them: it cuts the text there first, encodes what is between on its own, and the string's id
+    shows where one part ends."""
+    mark, number = next(iter(_specials(path).items()), (None, None))
+    if mark is None:
+        found = tokenizer(path).encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        return {p: np.array(f.ids, dtype="<u4").tobytes() for p, f in zip(parts, found)}
+    groups = [parts[k : k + GROUP] for k in range(0, len(parts), GROUP)]
+    texts = [mark.join(p.decode() for p in g) for g in groups]
+    out: dict[bytes, bytes] = {}
+    for group, found in zip(groups, tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)):
         ids = np.array(found.ids, dtype="<u4")
-        ends = np.flatnonzero(_ends_word(path)[ids]) + 1
-        if len(ends) != len(group):
-            single += group
-            continue
+        ends = np.flatnonzero(ids == number).tolist()
+        if len(ends) != len(group) - 1:
+            raise RuntimeError("a special string got lost between two parts")
         raw = ids.tobytes()
-        memo.update((c.encode(), raw[4 * x : 4 * y]) for c, x, y in zip(group, [0, *ends.tolist()], ends.tolist()))
-    for c, found in zip(single, tokenizer(path).encode_batch_fast(single, add_special_tokens=False)):
-        memo[c.encode()] = np.array(found.ids, dtype="<u4").tobytes()
-    return [np.frombuffer(b"".join(map(memo.__getitem__, c)), dtype="<u4") for c in chunks]
+        out.update((p, raw[4 * x : 4 * y]) for p, x, y in zip(group, [0, *[e + 1 for e in ends]], [*ends, len(ids)]))
+    return out
+
+
+def _ids_of(parts: list[bytes], path: str) -> list[bytes]:
+    """Ids of distinct parts as bytes."""
+    memory = _memory(path)
+    found = memory.find(parts)
+    new = [k for k, ids in enumerate(found) if ids is None]
+    made = _encode_parts([parts[k] for k in new], path)
+    for k in new:
+        found[k] = made[parts[k]]
+        memory.put(parts[k], found[k])
+    return found
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.LargeStringArray:
+    buffers = (np.ascontiguousarray(offsets, dtype=np.int64), np.ascontiguousarray(data))
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, *map(pa.py_buffer, buffers))
+
+
+def encode_texts(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, where each text's ids begin and one more) of the UTF-8 texts in a buffer.
+
+    The tokenizer drops white space before it merges, so a text's ids are those of its parts between blanks;
+    each distinct part is looked up once and the ids are put together by number. A text with a special string
+    goes through the library whole, which gives that string its own id.
+    """
+    texts = _strings(data, offsets)
+    special, as_is = (np.zeros(len(texts), dtype=bool) for _ in range(2))
+    for mark in _specials(path):
+        special |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        as_is |= pc.match_substring(texts, mark, ignore_case=True).to_numpy(zero_copy_only=False)
+    lists = pc.ascii_split_whitespace(_strings(*simplified(data, offsets, as_is)))
+    if special.any():
+        lists = pc.if_else(pa.array(special), pa.scalar([], lists.type), lists)
+    coded = lists.flatten().dictionary_encode()
+    found = _ids_of(coded.dictionary.cast(pa.large_binary()).to_pylist(), path)
+    ids, length = np.frombuffer(b"".join(found), dtype="<u4"), np.array([len(x) // 4 for x in found], dtype=np.int64)
+    codes = coded.indices.to_numpy()
+    each = length[codes]
+    ends = np.cumsum(each)
+    first = (np.cumsum(length) - length)[codes]
+    flat = ids[np.repeat(first - (ends - each), each) + np.arange(int(each.sum()))]
+    cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])]
+    if not special.any():
+        return flat, cuts
+    own = [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+    for k in np.flatnonzero(special).tolist():
+        own[k] = np.array(tokenizer(path).encode(texts[k].as_py(), add_special_tokens=False).ids, dtype="<u4")
+    return np.concatenate([*own, flat[:0]]), np.concatenate([[0], np.cumsum([len(x) for x in own])])
 
 
 def write_tokens(
@@ -168,7 +256,8 @@ def write_tokens(
 ) -> None:
     """Encode every text, append `end_id`, and write pages in ascending doc_id order (ties: by text).
 
-    A null text counts as empty: its only id is `end_id`. Rows without doc_id come first. Repeated
+    Texts are encoded whole as the library does without special tokens of its own; the strings of special tokens in
+    a text get their ids. A null text counts as empty: its only id is `end_id`. Rows without doc_id come first. Repeated
     rows are written as often as they come; an empty table gives an empty folder of pages.
     """
     path = path or public_tokenizers.path("word_bpe_49k.json")
@@ -180,10 +269,11 @@ def write_tokens(
         lists: list[np.ndarray] = []
         held = 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                rows = batch.slice(low, 256)
-                texts = rows.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()
-                for doc, found in zip(rows.column("doc_id").to_pylist(), encode_raw(texts, path)):
+            data, offsets = text_buffer(batch.column("text"))
+            for low, high in pieces(offsets, SLICE_BYTES):
+                flat, cuts = encode_texts(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], path)
+                for k, doc in enumerate(batch.column("doc_id").slice(low, high - low).to_pylist()):
+                    found = flat[cuts[k] : cuts[k + 1]]
                     if lists and held + len(found) >= PAGE_IDS:
                         yield _page(part, page, ids, lists, bits)
                         page, held, ids, lists = page + 1, 0, [], []
@@ -231,7 +321,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for number in range(batch.num_rows):  # one page at a time
+                (row,) = batch.slice(number, 1).to_pylist()
                 ends = np.cumsum(row["n_tokens"])
                 ids = read_ids(row["content"])
                 for low in range(0, len(ends), 1024):
