@@ -77,8 +77,9 @@ def ratio_band(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def bitmap_bits(band: int, percent: int = PERCENT) -> int:
-    """Bits of the bitmaps of a band, a power of two: one to two for each member."""
-    return max(64, 1 << math.ceil(math.log2((100 / percent) ** min(band, 200))))
+    """Bits of the bitmaps of a band, a power of two: four to ten for each member, so that few sets below the
+    similarity pass."""
+    return max(64, 1 << math.ceil(math.log2(4 * (100 / percent) ** min(band, 200))))
 
 
 def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
@@ -195,12 +196,15 @@ def prefixes(sets: DataFrame, hot: np.ndarray, level: np.ndarray, percent: int =
 
 def meeting_rows(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """item, row, size, band and n (the sets that have the item in their region) of all prefix members that
-    several sets have there."""
+    several sets have there. Of items with the same rows one stands for all."""
     counts = stored(sets.select(F.explode("region").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
     crowded = counts.where(F.col("n") > HOT).orderBy(F.col("n").desc(), "item").limit(HOT_LIST).toArrow().sort_by("item")
     level = np.floor(np.log2(np.maximum(crowded["n"].to_numpy(), 1))).astype(np.int8)
-    rows = prefixes(sets, crowded["item"].to_numpy(), level, percent)
-    return stored(rows.join(counts, "item"), "meetings")
+    rows = stored(prefixes(sets, crowded["item"].to_numpy(), level, percent).join(counts, "item"), "meetings")
+    # A passage that the same documents share is many items with the same rows: one of them does.
+    same = rows.groupBy("item").agg(F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("y"), F.count(F.lit(1)).alias("z"))
+    one = same.where("z > 1").groupBy("x", "y", "z").agg(F.min("item").alias("item"))
+    return stored(rows.join(one.select("item"), "item", "left_semi"), "meetings")
 
 
 def tiles(meetings: DataFrame) -> DataFrame:
@@ -285,8 +289,9 @@ def blocked(rows: DataFrame) -> DataFrame:
     return dealt.select("item", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "row", "size", "guest", "root", "bits")
 
 
-def compared(dealt: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of one group that have different roots and that sizes and bitmaps leave possible."""
+def compared(dealt: DataFrame, percent: int = PERCENT, best: bool = False) -> DataFrame:
+    """Pairs (a, b) of one group that have different roots and that sizes and bitmaps leave possible; with `best`
+    only the most promising one of each node and each other root."""
     keys = ["item", "tile", "i", "j"]
 
     def pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -306,7 +311,11 @@ def compared(dealt: DataFrame, percent: int = PERCENT) -> DataFrame:
                 fit &= block[near] != block[k]
             at = np.flatnonzero(fit) + k + 1
             differing = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
-            at = at[may_link(size[k], size[at], differing, percent)]
+            fit = may_link(size[k], size[at], differing, percent)
+            at, differing = at[fit], differing[fit]
+            if best:
+                at = at[np.argsort(differing, kind="stable")]
+                at = at[np.unique(root[at], return_index=True)[1]]
             a.append(np.minimum(row[at], row[k]))
             b.append(np.maximum(row[at], row[k]))
         return (np.concatenate(a), np.concatenate(b)) if a else (row[:0], row[:0])
@@ -338,6 +347,18 @@ def compared(dealt: DataFrame, percent: int = PERCENT) -> DataFrame:
 # ---- the join ------------------------------------------------------------------------------
 
 
+def _open_rows(placed: DataFrame, centers: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows, with root, main and bits, of the tiles in which nodes of several components meet."""
+    rooted = placed.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    middle = centers.join(roots.withColumnRenamed("node", "center"), "center", "left")
+    middle = middle.select("item", "tile", F.coalesce("root", "center").alias("middle"))
+    rooted = rooted.join(middle, ["item", "tile"]).withColumn("main", F.col("root") == F.col("middle"))
+    rooted = stored(rooted.select("item", "tile", "row", "size", "guest", "root", "main"), "rooted")
+    tile = rooted.groupBy("item", "tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
+    tile = tile.where("low <> high and members > 2").select("item", "tile")
+    return rooted.join(tile, ["item", "tile"]).join(sets.select("row", "bits"), "row")
+
+
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles (the size of its set), component_id (the smallest doc_id that
     links lead to, its own included) and n_rows (the rows of the component).
@@ -364,18 +385,14 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     first = stored(plausible(spokes, single, percent), "spokes")
     links = stored(verified(first, single, docs, words, percent), "links")
 
-    # Tiles that still hold several components, and more than the center and one partner.
-    roots = components(links)
-    rooted = placed.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    middle = centers.join(roots.withColumnRenamed("node", "center"), "center", "left")
-    middle = middle.select("item", "tile", F.coalesce("root", "center").alias("middle"))
-    rooted = stored(rooted.join(middle, ["item", "tile"]).withColumn("main", F.col("root") == F.col("middle")).select("item", "tile", "row", "size", "guest", "root", "main"), "rooted")
-    open_tiles = rooted.groupBy("item", "tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
-    open_tiles = open_tiles.where("low <> high and members > 2").select("item", "tile")
-    rest = rooted.join(open_tiles, ["item", "tile"]).join(single.select("row", "bits"), "row")
+    # Tiles that still hold several components, and more than the center and one partner. The most promising pairs
+    # come first: they spare the many others between two nodes' components.
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = stored(compared(blocked(rest), percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(stored(verified(second, single, docs, words, percent), "links"))
+    for best in (True, False):
+        pairs = compared(blocked(_open_rows(placed, centers, single, components(links))), percent, best)
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(stored(verified(pairs, single, docs, words, percent), "links"))
+        tried = tried.unionByName(pairs)
 
     found = nodes.join(components(links).select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     totals = found.groupBy("root").agg(F.min("least").alias("component"), F.sum("rows").alias("n_rows"))
