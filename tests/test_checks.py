@@ -145,11 +145,11 @@ def random_groups(seed, n_groups, bounds):
 
 
 @pytest.mark.parametrize("gaps, zero", [("allowed", False), ("not_allowed", True), ("required", False)])
-@pytest.mark.parametrize("hot_rows", [0, 1000])
-def test_ranges_against_brute_force(spark, gaps, zero, hot_rows):
+@pytest.mark.parametrize("slices", [None, 1, 23])
+def test_ranges_against_brute_force(spark, gaps, zero, slices):
     data = random_groups(7, 40, (7, 9))
     df = frame(spark, data, "k int, lo int, hi int")
-    bad = checks.mutually_exclusive_ranges(df, "lo", "hi", ["k"], gaps, zero, hot_rows=hot_rows)
+    bad = checks.mutually_exclusive_ranges(df, "lo", "hi", ["k"], gaps, zero, slices=slices)
     found = Counter({(r.k, r.lower_bound, r.upper_bound, r.next_lower_bound): r.n_rows for r in bad.collect()})
     assert found == brute_ranges(data, gaps, zero)
 
@@ -164,15 +164,15 @@ def test_sequences(spark, rows):
     assert checks.sequential_values(clock, "t", 2, "hour").count() == 3
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1000])
-def test_sequences_against_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("slices", [None, 1, 23])
+def test_sequences_against_brute_force(spark, slices):
     data = random_groups(11, 40, (25,))
     expected = Counter()
     for key in {k for k, _ in data}:
         ordered = sorted(v for k, v in data if k == key and v is not None)
         expected.update((key, b, a) for a, b in zip(ordered, ordered[1:]) if b != a + 1)
     df = frame(spark, data, "k int, v int")
-    bad = checks.sequential_values(df, "v", group_by=["k"], hot_rows=hot_rows)
+    bad = checks.sequential_values(df, "v", group_by=["k"], slices=slices)
     assert Counter({(r.k, r.v, r.previous_v): r.n_rows for r in bad.collect()}) == expected
 
 

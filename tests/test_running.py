@@ -140,12 +140,34 @@ def test_neighbours(spark, offset, within):
     data = [(rng.choice([0, 0, 0, 1, None]), i) for i in range(60)]
     df = spark.createDataFrame(data, "g int, v int").repartition(5)
     order = [*within, "v"]
-    sets = []
-    for hot_rows in (0, 1000):
-        out = with_neighbour(df, order, offset, "near", within, hot_rows=hot_rows, slices=6)
-        sets.append({(r.v, r.near and r.near.v) for r in out.collect()})
-    assert sets[0] == sets[1] and len(sets[0]) == 60
+    ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]) if within else r[1])
+    expected = {}
+    for k, (g, v) in enumerate(ordered):
+        other = ordered[k + offset] if 0 <= k + offset < len(ordered) else None
+        expected[v] = other[1] if other and (not within or other[0] == g) else None
+    for slices in (None, 1, 6, 50):
+        out = with_neighbour(df, order, offset, "near", within, slices=slices)
+        assert {r.v: r.near and r.near.v for r in out.collect()} == expected
+        assert out.columns == ["g", "v", "near"]
+    assert with_neighbour(df.limit(0), order, offset, "near", within).collect() == []
     with pytest.raises(ValueError):
         with_neighbour(df, ["v"], 2, "near")
     with pytest.raises(ValueError):
         with_neighbour(df, ["v", "g"], 1, "near", ["g"])
+
+
+def test_neighbours_over_many_batches_in_one_plan(spark):
+    """No row is counted beforehand, nothing meets in one task, and both reads share one exchange."""
+    n = 5000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("v"), F.lit("x").alias("extra"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        out = with_neighbour(df, ["v"], -1, "near", slices=5)
+        found = {r.v: r.near and r.near.v for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == {v: v - 1 if v else None for v in range(n)}
+    plan = out._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+    executed = out._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("ReusedExchange") >= 1 and "rangepartitioning" in executed

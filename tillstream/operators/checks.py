@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.times import AsOf, as_of_column, shift
 from tillstream.operators.joins import group_counts, unmatched_keys
-from tillstream.operators.ordered import HOT_ROWS, measured, with_neighbour
+from tillstream.operators.ordered import with_neighbour
 from tillstream.operators.reshape import filtered_columns, symmetric_except
 
 
@@ -201,7 +201,7 @@ def mutually_exclusive_ranges(
     partition_by: Sequence[str] = (),
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Ranges that are empty, have a NULL bound, or break the gap rule towards the next range.
 
@@ -216,8 +216,7 @@ def mutually_exclusive_ranges(
     counted = bounds.groupBy(*keys, "lower_bound", "upper_bound").agg(F.count("*").alias("n_rows"))
     order = [*keys, "lower_bound", "_no_upper", "upper_bound"]
     rows = counted.where(F.col("lower_bound").isNotNull()).withColumn("_no_upper", F.col("upper_bound").isNull())
-    size = measured(df, keys)
-    rows = with_neighbour(rows, order, 1, "_next", within=keys, hot_rows=hot_rows, size=size)
+    rows = with_neighbour(rows, order, 1, "_next", within=keys, slices=slices)
 
     after = F.col("_next.lower_bound")
     last = F.when(after == F.col("lower_bound"), 0).otherwise(1).cast("bigint")
@@ -243,7 +242,7 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Values that are not the previous value plus the interval; the first of a group passes.
 
@@ -251,9 +250,8 @@ def sequential_values(
     """
     keys = list(group_by)
     counted = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("n_rows"))
-    size = measured(df, keys)
     order = [*keys, column]
-    rows = with_neighbour(counted, order, -1, "_prev", within=keys, hot_rows=hot_rows, size=size)
+    rows = with_neighbour(counted, order, -1, "_prev", within=keys, slices=slices)
     copies = F.array(
         F.struct(F.col("_prev").getField(column).alias("previous"), F.lit(1).cast("bigint").alias("n")),
         F.struct(F.col(column).alias("previous"), (F.col("n_rows") - 1).alias("n")),

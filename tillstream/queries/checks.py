@@ -216,10 +216,10 @@ def _(spark, sf):
     _RANGES.format(partition="", key="", proper="lo <= hi", apart="hi = next_lo"),
 )
 def _(spark, sf):
-    """Without a partition, in the form for tables too large for one task."""
+    """Without a partition: the order of the whole table."""
     rows = _ranges(spark, sf)
     return checks.mutually_exclusive_ranges(
-        rows, "lo", "hi", gaps="not_allowed", zero_length_range_allowed=True, hot_rows=0
+        rows, "lo", "hi", gaps="not_allowed", zero_length_range_allowed=True, slices=16
     )
 
 
@@ -285,9 +285,9 @@ def _(spark, sf):
        where not (hour = previous + interval 1 hour) group by 1, 2""",
 )
 def _(spark, sf):
-    """By hour and without groups, in the form for tables too large for one task."""
+    """By hour and without groups: the order of the whole table."""
     hours = table(spark, sf, "events").select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
-    return checks.sequential_values(hours, "hour", datepart="hour", hot_rows=0)
+    return checks.sequential_values(hours, "hour", datepart="hour", slices=16)
 
 
 @query(

@@ -321,9 +321,9 @@ _NEIGHBOUR = """select user_id, ts, event_id, {side}(event_id) over w as {side}_
   {side}(event_id) over w is null as at_edge from events window w as (partition by user_id order by ts, event_id)"""
 
 
-def _neighbour(spark, sf, offset: int, side: str, hot_rows: int = ordered.HOT_ROWS):
+def _neighbour(spark, sf, offset: int, side: str, slices: int | None = None):
     events = table(spark, sf, "events").select("user_id", "ts", "event_id")
-    found = ordered.with_neighbour(events, ["user_id", "ts", "event_id"], offset, "near", ["user_id"], hot_rows)
+    found = ordered.with_neighbour(events, ["user_id", "ts", "event_id"], offset, "near", ["user_id"], slices)
     near = F.col("near.event_id")
     return found.select("user_id", "ts", "event_id", near.alias(f"{side}_event"), near.isNull().alias("at_edge"))
 
@@ -340,8 +340,8 @@ def _(spark, sf):
 
 @query("w8_lead_sliced", _NEIGHBOUR.format(side="lead"))
 def _(spark, sf):
-    """The form for groups too large for one task, forced on every user."""
-    return _neighbour(spark, sf, 1, "lead", hot_rows=0)
+    """More slices than users: the rows of a user lie in several."""
+    return _neighbour(spark, sf, 1, "lead", slices=64)
 
 
 # ---- scalar functions ----------------------------------------------------------------------
