@@ -3,7 +3,7 @@ status; `as_of` stands for the request time."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.money import money_avg, money_sum, round_away
@@ -79,6 +79,52 @@ def user_trends_row(df: DataFrame, user_id: str, as_of: AsOf, days: int = 30, li
     return row.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
 
 
+def trends_of_users(df: DataFrame, as_of: AsOf, days: int = 30, limit: int = 20, categories: int = 5) -> DataFrame:
+    """The answer of `user_trends` for every user with rows in the period, one nested row each: statistics,
+    `top_categories` (by spend, then name) and `recent_transactions` (newest first, all columns).
+
+    Statistics and categories are grouping sets of one pass, so a busy user sends one row per category and task. The
+    newest rows are cut to `limit` in every task before the shuffle. A user's list of categories is as long as there
+    are categories; nothing else is collected.
+    """
+    rows = lookback(df, as_of, days)
+    check_bounds("limit", limit, 1, 100)
+    fields = rows.select("user_id", "merchant_category", "amount", "currency")
+    sets = fields.groupingSets([["user_id"], ["user_id", "merchant_category"]], "user_id", "merchant_category")
+    facets = sets.agg(
+        F.grouping("merchant_category").alias("is_total"),
+        F.count("*").alias("n"),
+        F.coalesce(money_sum("amount"), F.lit(0.0)).alias("spend"),
+        F.collect_set("currency").alias("currencies"),
+    )
+    total = lambda c: F.first(F.when(F.col("is_total") == 1, c), ignorenulls=True)
+    category = F.struct((-F.col("spend")).alias("minus"), F.col("merchant_category").alias("category"), F.col("n").alias("count"))
+    ranked = F.slice(F.sort_array(F.collect_list(F.when(F.col("is_total") == 0, category))), 1, categories)
+    named = F.transform(ranked, lambda c: F.struct(c["category"].alias("category"), (-c["minus"]).alias("spend"), c["count"].alias("count")))
+    answers = facets.groupBy("user_id").agg(
+        total(F.col("n")).alias("total_transactions"),
+        total(F.col("spend")).alias("total_spend"),
+        F.sort_array(total(F.col("currencies"))).alias("currencies"),
+        named.alias("top_categories"),
+    )
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(*newest_first()))
+    newest = rows.withColumn("place", place).where(F.col("place") <= limit)
+    kept = F.struct("place", *[c for c in rows.columns if c != "user_id"])
+    recent = newest.groupBy(F.col("user_id").alias("of_user")).agg(F.sort_array(F.collect_list(kept)).alias("recent_transactions"))
+    joined = answers.join(recent, F.col("user_id").eqNullSafe(F.col("of_user")))
+    average = round_away(F.col("total_spend") / F.col("total_transactions"), 2)
+    return joined.select(
+        "user_id",
+        F.lit(days).alias("period_days"),
+        "total_transactions",
+        "total_spend",
+        average.alias("avg_transaction"),
+        "currencies",
+        "top_categories",
+        F.transform("recent_transactions", lambda r: r.dropFields("place")).alias("recent_transactions"),
+    )
+
+
 def anomalies(
     df: DataFrame,
     as_of: AsOf,

@@ -231,26 +231,44 @@ def _(spark, sf):
 
 @query(
     "a20_facet_user_trends",
-    f"""with {_USER_ROWS}
-        select '{_USER}' as user_id, 30 as period_days, (select count(*) from mine) as total_transactions,
-               (select {money_sum("amount")} from mine) as total_spend,
-               (select string_agg(category || '=' || count, ',' order by spend desc, category)
-                from ({_CATEGORIES})) as top_categories,
-               (select least(20, count(*)) from mine) as n_recent""",
+    f"""with {LIVE}, mine as (select * from live where "timestamp" >= {EVENTS_NOW} - interval 30 day and "timestamp" <= {EVENTS_NOW}),
+          by_category as (select user_id, merchant_category, {money_sum("amount")} as spend, count(*) as n from mine group by 1, 2),
+          ranked as (select *, row_number() over (partition by user_id order by spend desc, merchant_category) as place from by_category),
+          newest as (select *, row_number() over (partition by user_id order by "timestamp" desc, txn_id) as place from mine)
+        select user_id, 30 as period_days, 'stats' as part, 0 as place, string_agg(distinct currency, ',' order by currency) as name,
+               count(*) as n, {money_sum("amount")} as amount, {rounded(f"{money_sum('amount')} / count(*)", 2)} as average,
+               null as "timestamp", null as details from mine group by 1
+        union all select user_id, 30, 'category', place, merchant_category, n, spend, null, null, null from ranked where place <= 5
+        union all select user_id, 30, 'recent', place, txn_id, null, amount, null, "timestamp",
+               concat_ws('|', currency, merchant_id, merchant_category, payment_method, status, cast(cast(location_lat as int) as varchar),
+                         cast(cast(location_lon as int) as varchar)) from newest where place <= 20""",
 )
 def _(spark, sf):
-    """One nested answer from one filtered input."""
-    row = serving.user_trends_row(live_transactions(spark, sf), _USER, EVENTS_AS_OF)
-    by_spend = F.reverse(F.array_sort(F.transform("top_categories", lambda c: F.struct(c["spend"], c["category"], c["count"]))))
-    text = F.array_join(F.transform(by_spend, lambda c: F.concat(c["category"], F.lit("="), c["count"].cast("string"))), ",")
-    return row.select(
-        "user_id",
-        "period_days",
-        "total_transactions",
-        "total_spend",
-        text.alias("top_categories"),
-        F.size("recent_transactions").alias("n_recent"),
+    """The nested answers for all users, with every field of every part as a row."""
+    answers = serving.trends_of_users(live_transactions(spark, sf), EVENTS_AS_OF)
+    details = lambda r: F.concat_ws(
+        "|", *[r[c] for c in ("currency", "merchant_id", "merchant_category", "payment_method", "status")],
+        r["location"]["lat"].cast("int").cast("string"), r["location"]["lon"].cast("int").cast("string"),
     )
+    nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    stats = answers.select(
+        "user_id", "period_days", F.lit("stats").alias("part"), F.lit(0).alias("place"), F.array_join("currencies", ",").alias("name"),
+        F.col("total_transactions").alias("n"), F.col("total_spend").alias("amount"), F.col("avg_transaction").alias("average"),
+        nothing("timestamp_ntz", "timestamp"), nothing("string", "details"),
+    )
+    categories = answers.select("user_id", "period_days", F.posexplode("top_categories").alias("place", "c"))
+    categories = categories.select(
+        "user_id", "period_days", F.lit("category").alias("part"), (F.col("place") + 1).alias("place"), F.col("c.category").alias("name"),
+        F.col("c.count").alias("n"), F.col("c.spend").alias("amount"), nothing("double", "average"),
+        nothing("timestamp_ntz", "timestamp"), nothing("string", "details"),
+    )
+    recent = answers.select("user_id", "period_days", F.posexplode("recent_transactions").alias("place", "r"))
+    recent = recent.select(
+        "user_id", "period_days", F.lit("recent").alias("part"), (F.col("place") + 1).alias("place"), F.col("r.txn_id").alias("name"),
+        nothing("bigint", "n"), F.col("r.amount").alias("amount"), nothing("double", "average"),
+        F.col("r.timestamp").alias("timestamp"), details(F.col("r")).alias("details"),
+    )
+    return stats.unionByName(categories).unionByName(recent)
 
 
 @query(
