@@ -76,10 +76,10 @@ def ratio_band(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.floor(np.log(size) / math.log(100 / percent)).astype(np.int64)
 
 
-def bitmap_bits(band: int, percent: int = PERCENT) -> int:
-    """Bits of the bitmaps of a band, a power of two: four to ten for each member, so that few sets below the
-    similarity pass."""
-    return max(64, 1 << math.ceil(math.log2(4 * (100 / percent) ** min(band, 200))))
+def bitmap_bits(band: int, percent: int = PERCENT, each: int = 4) -> int:
+    """Bits of the bitmaps of a band, a power of two: at least `each` for each member. With four, few sets
+    below the similarity pass; with one, what is compared in tiles stays short."""
+    return max(64, 1 << math.ceil(math.log2(each * (100 / percent) ** min(band, 200))))
 
 
 def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
@@ -104,7 +104,7 @@ def prefix_length(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 #: hash values below this are in the region
 REGION_END = np.int64(int(REGION * (1 << 64)) - (1 << 63))
 
-SETS = "row long, doc_id long, text_hash long, key binary, size int, bits binary, region array<long>"
+SETS = "row long, doc_id long, text_hash long, key binary, size int, bits binary, narrow binary, region array<long>"
 
 
 def _key(values: np.ndarray) -> bytes:
@@ -131,14 +131,17 @@ def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
                 bands = ratio_band(np.maximum(sizes, 1), percent).tolist()
                 looked = np.where(sizes > 0, prefix_length(sizes, percent), 0)
                 regions = [x[: max(int(np.searchsorted(x, REGION_END)), n)] for x, n in zip(sets, looked.tolist())]
+                bits = [bitmap(x, bitmap_bits(b, percent)) for x, b in zip(sets, bands)]
+                narrow = [folded(x, bitmap_bits(b, percent, 1) // 64) for x, b in zip(bits, bands)]
                 columns = [
                     *(batch.column(c).slice(low, high - low) for c in ("row", "doc_id", "text_hash")),
                     pa.array([_key(x) for x in sets], pa.binary()),
                     pa.array(sizes.astype(np.int32)),
-                    pa.array([bitmap(x, bitmap_bits(b, percent)).tobytes() for x, b in zip(sets, bands)], pa.binary()),
+                    pa.array([x.tobytes() for x in bits], pa.binary()),
+                    pa.array([x.tobytes() for x in narrow], pa.binary()),
                     _lists(np.concatenate([[0], np.cumsum([len(x) for x in regions])]), np.concatenate([*regions, values[:0]])),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "text_hash", "key", "size", "bits", "region"])
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "text_hash", "key", "size", "bits", "narrow", "region"])
 
     return rows.mapInArrow(make, SETS)
 
@@ -286,7 +289,7 @@ def blocked(rows: DataFrame) -> DataFrame:
     block = (F.when(F.col("main"), F.col("others")).otherwise(F.lit(0)) + drawn).cast("int")
     most = F.when(F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("mains")).cast("int")
     dealt = rows.join(counts, ["item", "tile"]).withColumns({"block": block, "other": F.explode(F.sequence(F.lit(0), most - 1))})
-    return dealt.select("item", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "row", "size", "guest", "root", "bits")
+    return dealt.select("item", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "row", "size", "guest", "root")
 
 
 def compared(dealt: DataFrame, percent: int = PERCENT, best: bool = False) -> DataFrame:
@@ -298,7 +301,7 @@ def compared(dealt: DataFrame, percent: int = PERCENT, best: bool = False) -> Da
         group = group.sort_by("size")
         row, size, root, block = (group[c].to_numpy().astype(np.int64) for c in ("row", "size", "root", "block"))
         guest = np.array(group["guest"].to_pylist(), dtype=bool)
-        raw = [np.frombuffer(x, "<u8") for x in group["bits"].to_pylist()]
+        raw = [np.frombuffer(x, "<u8") for x in group["narrow"].to_pylist()]
         width = min(map(len, raw))
         bits = np.stack([folded(x, width) for x in raw])
         across = group["i"][0].as_py() != group["j"][0].as_py()
@@ -347,8 +350,8 @@ def compared(dealt: DataFrame, percent: int = PERCENT, best: bool = False) -> Da
 # ---- the join ------------------------------------------------------------------------------
 
 
-def _open_rows(placed: DataFrame, centers: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows, with root, main and bits, of the tiles in which nodes of several components meet."""
+def _open_rows(placed: DataFrame, centers: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows, with root and main, of the tiles in which nodes of several components meet."""
     rooted = placed.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     middle = centers.join(roots.withColumnRenamed("node", "center"), "center", "left")
     middle = middle.select("item", "tile", F.coalesce("root", "center").alias("middle"))
@@ -356,7 +359,7 @@ def _open_rows(placed: DataFrame, centers: DataFrame, sets: DataFrame, roots: Da
     rooted = stored(rooted.select("item", "tile", "row", "size", "guest", "root", "main"), "rooted")
     tile = rooted.groupBy("item", "tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
     tile = tile.where("low <> high and members > 2").select("item", "tile")
-    return rooted.join(tile, ["item", "tile"]).join(sets.select("row", "bits"), "row")
+    return rooted.join(tile, ["item", "tile"])
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -389,8 +392,9 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     # come first: they spare the many others between two nodes' components.
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for best in (True, False):
-        pairs = compared(blocked(_open_rows(placed, centers, single, components(links))), percent, best)
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        dealt = blocked(_open_rows(placed, centers, components(links))).join(single.select("row", "narrow"), "row")
+        pairs = compared(dealt, percent, best).join(tried, ["a", "b"], "left_anti")
+        pairs = stored(plausible(pairs, single, percent), "pairs")
         links = links.unionByName(stored(verified(pairs, single, docs, words, percent), "links"))
         tried = tried.unionByName(pairs)
 
