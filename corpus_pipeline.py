@@ -15,9 +15,8 @@ from tillstream.llm.byte_bpe import detokenize, tokenize
 from tillstream.llm.chunk_dedup import duplicate_groups
 from tillstream.llm.decontamination import contaminations
 from tillstream.llm.near_dedup import near_duplicate_classes
-from tillstream.llm.registry import stored, table
+from tillstream.llm.registry import prepared, stored, table
 from tillstream.llm.toxicity import fit, score_of
-from tillstream.session import apply_settings
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -28,27 +27,32 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier finds toxic go."""
+    prepared(spark)
     model = fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return docs.where(score_of("text", model) < 0.5)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest doc_id stays."""
+    prepared(spark)
     return _without(docs, duplicate_groups(docs.select("doc_id", "text")).where("not kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates the one with the smallest doc_id stays."""
+    prepared(spark)
     return _without(docs, near_duplicate_classes(docs.select("doc_id", "text")).where("not kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    prepared(spark)
     return _without(docs, contaminations(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text byte by byte."""
+    prepared(spark)
     coded = detokenize(tokenize(docs.select("doc_id", "lang", "source", "text")))
     exact = F.col("raw") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return coded.select("doc_id", "lang", "source", "n_tokens", "ids", exact.alias("exact"))
@@ -68,8 +72,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder of tables."""
-    apply_settings(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = table(prepared(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -46,6 +46,8 @@ REGISTERS = 727
 AGREEMENT = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5
 #: nodes of a bucket that are compared within one task
 BLOCK = 4096
+#: texts whose signatures are made at once: 16 bytes a register and text
+PIECE_ROWS = 1024
 
 
 # ---- weighted shingles and signatures ------------------------------------------------------
@@ -148,7 +150,7 @@ def sketched(rows: DataFrame) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
-            for low, high in pieces(offsets):
+            for low, high in pieces(offsets, rows=PIECE_ROWS):
                 part, places = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
                 n, raw = high - low, part.tobytes()
                 found = shingles(part, places)

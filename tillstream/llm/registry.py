@@ -11,17 +11,26 @@ from pyspark.sql import functions as F
 
 from tillstream.session import apply_settings, scratch_path
 
+#: bytes of an Arrow batch that goes to a Python worker; several such batches and what is made of them are held at once
+BATCH_BYTES = "16m"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings that the operators of this package rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return apply_settings(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register a query; without `sql` it is tested against brute force only."""
 
     def register(build):
         @functools.wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(apply_settings(spark), sf_dir)
+            return build(prepared(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

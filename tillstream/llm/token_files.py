@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,9 +43,9 @@ PAGE_IDS = 1 << 19
 #: text bytes of a range of documents
 PART_BYTES = 32 << 20
 #: text bytes that are encoded at once; a longer text is encoded alone
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: bytes a worker uses to remember the ids of chunks, and what an entry takes beside its content
-MEMO_BYTES, ENTRY_BYTES = 48 << 20, 180
+MEMO_BYTES, ENTRY_BYTES = 96 << 20, 180
 #: parts that go through the library as one text
 GROUP = 512
 PAGES = "part int, page int, doc_ids array<long>, n_tokens array<long>, content binary"
@@ -110,6 +111,7 @@ def read_ids(content: bytes, low: int = 0, high: int | None = None) -> np.ndarra
 
 @functools.cache
 def tokenizer(path: str) -> Tokenizer:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are what runs side by side
     return Tokenizer.from_file(path)
 
 
@@ -125,20 +127,22 @@ class Memory:
 
     def __init__(self, limit: int = MEMO_BYTES):
         self.limit, self.held = limit // 2, 0
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def find(self, parts: list[bytes]) -> list[bytes | None]:
+    def find(self, parts: list[str]) -> list[bytes | None]:
         found = list(map(self.young.get, parts))
-        for k in [k for k, ids in enumerate(found) if ids is None]:
-            found[k] = self.old.get(parts[k])
-            if found[k] is not None:
-                self.put(parts[k], found[k])
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        again = {}
+        for k, ids in zip(missing, map(self.old.get, [parts[k] for k in missing])):
+            if ids is not None:
+                found[k] = again[parts[k]] = ids
+        self.put(again)
         return found
 
-    def put(self, part: bytes, ids: bytes) -> None:
-        self.young[part] = ids
-        self.held += len(part) + len(ids) + ENTRY_BYTES
+    def put(self, known: dict[str, bytes]) -> None:
+        self.young.update(known)
+        self.held += sum(map(len, known)) + sum(map(len, known.values())) + ENTRY_BYTES * len(known)
         if self.held > self.limit:
             self.young, self.old, self.held = {}, self.young, 0
 
@@ -181,19 +185,47 @@ def simplified(data: np.ndarray, offsets: np.ndarray, as_is: np.ndarray) -> tupl
     return np.insert(lowered, at, np.uint8(32)), offsets + np.searchsorted(at, offsets)
 
 
-def _encode_parts(parts: list[bytes], path: str) -> dict[bytes, bytes]:
-    """Ids of parts without blanks and special strings. Many go through the library as one text with a special
-    string between them: it cuts the text there first, encodes what is between on its own, and the string's id
-    shows where one part ends."""
+@functools.cache
+def _ends_word(path: str) -> np.ndarray:
+    """Which ids end a word."""
+    words = tokenizer(path).get_vocab(with_added_tokens=True)
+    out = np.zeros(max(words.values()) + 1, dtype=bool)
+    out[[i for w, i in words.items() if w.endswith("</w>")]] = True
+    return out
+
+
+def _together(groups: list[list[str]], between: str, path: str) -> Iterator[tuple[list[str], np.ndarray]]:
+    texts = [between.join(g) for g in groups]
+    for group, found in zip(groups, tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)):
+        yield group, np.array(found.ids, dtype="<u4")
+
+
+def _grouped(parts: list[str]) -> list[list[str]]:
+    return [parts[k : k + GROUP] for k in range(0, len(parts), GROUP)]
+
+
+def _encode_parts(parts: list[str], path: str) -> dict[str, bytes]:
+    """Ids of parts without blanks and special strings, many of which go through the library as one text.
+
+    Parts of letters are one word each, and only the last id of a word ends one: where that shows as many ends
+    as parts, blanks between them do. All others have a special string between them: the library cuts the text there
+    first and encodes what is between on its own, and the string's id shows where one part ends.
+    """
+    out: dict[str, bytes] = {}
+    others = [p for p in parts if not p.isalpha()]
+    for group, ids in _together(_grouped([p for p in parts if p.isalpha()]), " ", path):
+        ends = (np.flatnonzero(_ends_word(path)[ids]) + 1).tolist()
+        if len(ends) != len(group) or ends[-1] != len(ids):
+            others += group
+            continue
+        raw = ids.tobytes()
+        out.update((p, raw[4 * x : 4 * y]) for p, x, y in zip(group, [0, *ends], ends))
     mark, number = next(iter(_specials(path).items()), (None, None))
     if mark is None:
-        found = tokenizer(path).encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-        return {p: np.array(f.ids, dtype="<u4").tobytes() for p, f in zip(parts, found)}
-    groups = [parts[k : k + GROUP] for k in range(0, len(parts), GROUP)]
-    texts = [mark.join(p.decode() for p in g) for g in groups]
-    out: dict[bytes, bytes] = {}
-    for group, found in zip(groups, tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)):
-        ids = np.array(found.ids, dtype="<u4")
+        found = tokenizer(path).encode_batch_fast(others, add_special_tokens=False)
+        out.update((p, np.array(f.ids, dtype="<u4").tobytes()) for p, f in zip(others, found))
+        return out
+    for group, ids in _together(_grouped(others), mark, path):
         ends = np.flatnonzero(ids == number).tolist()
         if len(ends) != len(group) - 1:
             raise RuntimeError("a special string got lost between two parts")
@@ -202,7 +234,7 @@ def _encode_parts(parts: list[bytes], path: str) -> dict[bytes, bytes]:
     return out
 
 
-def _ids_of(parts: list[bytes], path: str) -> list[bytes]:
+def _ids_of(parts: list[str], path: str) -> list[bytes]:
     """Ids of distinct parts as bytes."""
     memory = _memory(path)
     found = memory.find(parts)
@@ -210,7 +242,7 @@ def _ids_of(parts: list[bytes], path: str) -> list[bytes]:
     made = _encode_parts([parts[k] for k in new], path)
     for k in new:
         found[k] = made[parts[k]]
-        memory.put(parts[k], found[k])
+    memory.put(made)
     return found
 
 
@@ -235,14 +267,11 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.n
     if special.any():
         lists = pc.if_else(pa.array(special), pa.scalar([], lists.type), lists)
     coded = lists.flatten().dictionary_encode()
-    found = _ids_of(coded.dictionary.cast(pa.large_binary()).to_pylist(), path)
-    ids, length = np.frombuffer(b"".join(found), dtype="<u4"), np.array([len(x) // 4 for x in found], dtype=np.int64)
-    codes = coded.indices.to_numpy()
-    each = length[codes]
-    ends = np.cumsum(each)
-    first = (np.cumsum(length) - length)[codes]
-    flat = ids[np.repeat(first - (ends - each), each) + np.arange(int(each.sum()))]
-    cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])]
+    found = _ids_of(coded.dictionary.to_pylist(), path)
+    ids, ends = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum([0, *[len(x) // 4 for x in found]])
+    each = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids)).take(coded.indices)
+    flat, cuts = each.flatten().to_numpy(), each.offsets.to_numpy() - each.offsets[0].as_py()
+    cuts = cuts[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])]
     if not special.any():
         return flat, cuts
     own = [flat[a:b] for a, b in zip(cuts, cuts[1:])]

@@ -35,12 +35,12 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts have at most `limit` bytes together, or one row."""
+def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges whose texts have at most `limit` bytes together and at most `rows` rows, or one row."""
     low, n = 0, len(offsets) - 1
     while low < n:
         high = int(np.searchsorted(offsets, offsets[low] + limit, side="right")) - 1
-        high = min(max(high, low + 1), n)
+        high = min(max(high, low + 1), n, n if rows is None else low + rows)
         yield low, high
         low = high
 
