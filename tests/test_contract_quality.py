@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import quality
-from tillstream.operators.contract import contract_failures, json_violations, violations
+from tillstream.operators.contract import contract_failures, json_failures, json_violations, violations
 from tillstream.plans import serving
 from tillstream.schemas import TRANSACTION_CONTRACT, TRANSACTION_JSON
 
@@ -185,3 +185,19 @@ def test_signed_minimum_score(spark, rows):
     df = stored(spark, [{}, {}]).withColumn("z_score", F.when(F.col("txn_id").endswith("1"), -5.0).otherwise(5.0))
     assert serving.anomalies(df, NOW, min_z=4.0).count() == 1
     assert serving.anomalies(df, NOW, min_z=4.0, absolute=True).count() == 2
+
+
+def test_texts_are_read_once_for_all_rules(spark, rows):
+    """The shared reading gives what the expression gives, for texts that break many rules."""
+    good = {"txn_id": "a" * 24, "user_id": "user_000001", "amount": 1.5, "currency": "CAD", "timestamp": "2024-03-01T00:00:00Z"}
+    good |= {"merchant_id": "merchant_0001", "merchant_category": "grocery", "payment_method": "credit_card", "status": "approved"}
+    good["location"] = {"lat": 1.0, "lon": 2.0}
+    texts = [good, {**good, "x": 1}, {**good, "amount": "1"}, {**good, "location": {"lat": 99, "alt": 1}}, {**good, "location": None}, [1], {}]
+    values = [json.dumps(t) for t in texts] + ["", None, "{", '"text"']
+    df = spark.createDataFrame(list(enumerate(values)), "id int, value string")
+    found = {r.id: r.violations for r in json_failures(df, TRANSACTION_CONTRACT, "id").collect()}
+    expected = {r.id: r.v for r in df.select("id", json_violations("value", TRANSACTION_CONTRACT).alias("v")).collect() if r.v}
+    assert found == expected and 0 not in found and found[9] == ["malformed"]
+    assert found[3] == ["location.lat: above maximum", "location.lon: missing", "location.alt: unexpected"]
+    plan = json_failures(df, TRANSACTION_CONTRACT, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") <= 2

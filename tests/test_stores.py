@@ -170,3 +170,24 @@ def test_rows_without_a_time_are_not_stored_again(spark, tmp_path, rows):
     for _copy in range(3):
         stores.append_dedup(batch, path, whole_table=False)
     assert rows(stores.read_by_day(spark, path), "txn_id") == [("a",), ("b",)]
+
+
+def test_stats_come_from_a_listing(spark, tmp_path):
+    """Bytes and average as the file system tells them, without a pass over the rows."""
+    path = tmp_path / "t"
+    days = [(f"t{i}", at(1 + i % 3), float(i)) for i in range(300)] + [("x", None, 1.0)]
+    df = stores._with_day(spark.createDataFrame(days, SCHEMA), "timestamp")
+    for _copy in range(2):
+        stores.write_by_day(df, str(path))
+    files = [f for f in path.rglob("*.parquet")]
+    total = sum(f.stat().st_size for f in files)
+    row = stores.table_stats({"t": str(path)}).first()
+    assert (row.row_count, row.file_count, row.total_bytes) == (602, len(files), total)
+    assert row.avg_row_bytes == total / 602
+    listing = stores.file_listing(spark, str(path))
+    assert "content" not in listing._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    by_day = listing.groupBy(stores._day_of("file_path").alias("day")).agg(F.sum("bytes").alias("n"))
+    found = {r.day: r.n for r in by_day.collect()}
+    assert found[None] == sum(f.stat().st_size for f in files if "HIVE_DEFAULT" in str(f)) and len(found) == 4
+    one = next(iter(files))
+    assert stores.table_stats({"one": str(one)}).first().total_bytes == one.stat().st_size

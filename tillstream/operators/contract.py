@@ -87,8 +87,17 @@ def contract_failures(df: DataFrame, contract: Mapping, key: str, allowed_extra:
     return marked.where(F.size("violations") > 0)
 
 
-def _json_flags(text: Column, variant: Column, path: str, contract: Mapping, prefix: str, allowed_extra) -> list[Column]:
-    keys = F.json_object_keys(text)
+def _key_columns(text: Column, contract: Mapping, path: str = "$") -> dict[str, Column]:
+    """The names that the text has at every object of the contract, by path."""
+    out = {path: F.json_object_keys(text if path == "$" else F.get_json_object(text, path))}
+    for name, rule in contract.items():
+        if rule["type"] == "object":
+            out |= _key_columns(text, rule["fields"], f"{path}.{name}")
+    return out
+
+
+def _json_flags(keys_at: Mapping[str, Column], variant: Column, path: str, contract: Mapping, prefix: str, allowed_extra) -> list[Column]:
+    keys = keys_at[path]
     flags = []
     for name, rule in contract.items():
         label, at = prefix + name, f"{path}.{name}"
@@ -97,8 +106,7 @@ def _json_flags(text: Column, variant: Column, path: str, contract: Mapping, pre
         right_kind = kind.rlike(_JSON_KINDS[rule["type"]])
         flags.append(_flag(F.array_contains(keys, name) & ~F.coalesce(right_kind, F.lit(False)), f"{label}: type"))
         if rule["type"] == "object":
-            inner = F.get_json_object(text, f"$.{name}")
-            checks = _json_flags(inner, variant, at, rule["fields"], f"{label}.", ())
+            checks = _json_flags(keys_at, variant, at, rule["fields"], f"{label}.", ())
             flags += [F.when(right_kind, c) for c in checks]
             continue
         spark_type = {"number": "double", "string": "string", "boolean": "boolean"}[rule["type"]]
@@ -113,10 +121,30 @@ def _json_flags(text: Column, variant: Column, path: str, contract: Mapping, pre
     return flags
 
 
-def json_violations(text: Column | str, contract: Mapping, allowed_extra: Sequence[str] = ()) -> Column:
-    """Violations of a JSON text, checked against the types in the text itself."""
-    text = F.col(text) if isinstance(text, str) else text
-    variant = F.try_parse_json(text)
+def _json_listed(variant: Column, keys_at: Mapping[str, Column], contract: Mapping, allowed_extra) -> Column:
     is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
-    flags = _json_flags(text, variant, "$", contract, "", set(allowed_extra))
+    flags = _json_flags(keys_at, variant, "$", contract, "", set(allowed_extra))
     return F.when(is_object, _listed(flags)).otherwise(F.array(F.lit("malformed")))
+
+
+def json_violations(text: Column | str, contract: Mapping, allowed_extra: Sequence[str] = ()) -> Column:
+    """Violations of a JSON text, checked against the types in the text itself. As an expression it reads the text
+    once for every rule; `json_failures` reads it once for all."""
+    text = F.col(text) if isinstance(text, str) else text
+    return _json_listed(F.try_parse_json(text), _key_columns(text, contract), contract, allowed_extra)
+
+
+def json_failures(df: DataFrame, contract: Mapping, key: str, column: str = "value", allowed_extra: Sequence[str] = ()) -> DataFrame:
+    """`key, violations` for each row whose JSON text breaks the contract.
+
+    The text is read in generators, whose results the rules share: as plain columns the readers would be copied into
+    every rule.
+    """
+    once = df.select(F.col(key).alias(key), F.inline(F.array(F.struct(F.col(column).alias("_text")))))
+    keys_at = _key_columns(F.col("_text"), contract)
+    cells = [F.try_parse_json("_text").alias("_variant"), *[c.alias(f"_keys{k}") for k, c in enumerate(keys_at.values())]]
+    parsed = once.select(key, F.inline(F.array(F.struct(*cells))))
+    columns = {path: F.col(f"_keys{k}") for k, path in enumerate(keys_at)}
+    listed = _json_listed(F.col("_variant"), columns, contract, allowed_extra)
+    marked = parsed.select(key, F.inline(F.array(F.struct(listed.alias("violations")))))
+    return marked.where(F.size("violations") > 0)

@@ -121,7 +121,7 @@ def _(spark, sf):
        union all select 'customer', count(*), 1 from customer""",
 )
 def _(spark, sf):
-    stats = stores.table_stats({n: table(spark, sf, n) for n in ("orders", "customer")})
+    stats = stores.table_stats({n: f"{sf}/{n}.parquet" for n in ("orders", "customer")})
     return stats.select("table_name", "row_count", F.col("file_count").cast("int").alias("file_count"))
 
 

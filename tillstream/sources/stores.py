@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillstream.functions.times import AsOf, as_of_column, shift, within_lookback
 from tillstream.operators.dedup import deduplicate
 from tillstream.operators.joins import orphans
-from tillstream.session import file_system, scratch_path
+from tillstream.session import file_system, is_single_file, scratch_path
 
 DAY = "event_date"
 #: most ids of a batch that are broadcast
@@ -249,18 +249,37 @@ def remove_orphans(
     return removed
 
 
-def table_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows, files, bytes and average row size per file-backed table."""
+def file_listing(spark: SparkSession, path: str) -> DataFrame:
+    """file_path and bytes of a table's Parquet files, as tasks list them: no file is opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if not is_single_file(spark, path):
+        reader = reader.option("pathGlobFilter", "*.parquet")
+    return reader.load(path).select(F.col("path").alias("file_path"), F.col("length").alias("bytes"))
+
+
+def _day_of(file_path: str) -> Column:
+    """The date of the folder that a file lies in; NULL for rows without a date."""
+    return F.regexp_extract(file_path, f"/{DAY}=([^/]+)/", 1).try_cast("date")
+
+
+def table_stats(tables: Mapping[str, DataFrame | str]) -> DataFrame:
+    """Rows, files, bytes and average row size of tables. Of a table that is given by its path, files are
+    listed and rows are counted from their footers; of a DataFrame over files, its rows name the files."""
     out = None
-    for name, df in tables.items():
-        files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path", "file_size")
-        per_file = files.agg(F.count("*").alias("rows"))
-        stats = per_file.agg(
-            F.lit(name).alias("table_name"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
-            F.count("*").alias("file_count"),
-            F.coalesce(F.sum("file_size"), F.lit(0)).alias("total_bytes"),
-        )
+    for name, source in tables.items():
+        if isinstance(source, str):
+            spark = SparkSession.getActiveSession()
+            listed = file_listing(spark, source).agg(F.count("*").alias("file_count"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"))
+            counted = spark.read.parquet(source).agg(F.count("*").alias("row_count"))
+            stats = counted.join(F.broadcast(listed)).select(F.lit(name).alias("table_name"), "row_count", "file_count", "total_bytes")
+        else:
+            files = source.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path", "file_size")
+            stats = files.agg(F.count("*").alias("rows")).agg(
+                F.lit(name).alias("table_name"),
+                F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+                F.count("*").alias("file_count"),
+                F.coalesce(F.sum("file_size"), F.lit(0)).alias("total_bytes"),
+            )
         stats = stats.withColumn("avg_row_bytes", F.col("total_bytes") / F.nullif("row_count", F.lit(0)))
         out = stats if out is None else out.unionAll(stats)
     return out
@@ -269,8 +288,8 @@ def table_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrite the dates that hold more files than their size needs; returns how many dates."""
     stored = spark.read.parquet(path)
-    files = stored.select(DAY, "_metadata.file_path", "_metadata.file_size").distinct()
-    by_day = files.groupBy(DAY).agg(F.count("*").alias("files"), F.sum("file_size").alias("bytes"))
+    files = file_listing(spark, path).withColumn(DAY, _day_of("file_path"))
+    by_day = files.groupBy(DAY).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
     needed = by_day.select(DAY, F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int").alias("needed"), "files")
     needed = needed.where("files > needed").drop("files").collect()
     crowded = [r[DAY] for r in needed]
