@@ -11,7 +11,8 @@ from tillstream.queries.rows import staged_history
 from tillstream.schemas import SNAPSHOT_TRANSACTIONS
 from tillstream.session import scratch_path
 from tillstream.sources import stores
-from tillstream.sources.datasets import EVENTS_AS_OF, live_transactions, raw_anomalies, table
+from tillstream.sources.datasets import EVENTS_AS_OF, live_transactions, raw_anomalies
+from tillstream.sources.versions import VersionedTable
 from tillstream.streaming.windows import spend_windows
 
 _SPEND = f"""(select user_id, date_trunc('day', "timestamp") as window_start, count(*) as txn_count,
@@ -33,29 +34,39 @@ def _(spark, sf):
     return stores.read_by_day(spark, path)
 
 
-@query(
-    "s8_upsert_by_key",
-    f"""with {LIVE} select user_id, window_start, coalesce(n.txn_count, o.txn_count) as txn_count,
+_UPSERTED = f"""with {LIVE} select user_id, window_start, coalesce(n.txn_count, o.txn_count) as txn_count,
                coalesce(n.total_spend, o.total_spend) as total_spend, case when n.user_id is null then 'old' else 'new' end as note
         from {_SPEND.format(where="where amount > 20")} o
-        full join {_SPEND.format(where="where status = 'approved'")} n using (user_id, window_start)""",
-)
+        full join {_SPEND.format(where="where status = 'approved'")} n using (user_id, window_start)"""
+
+
+@query("s8_upsert_by_key", _UPSERTED)
 def _(spark, sf):
     """Daily spend stored twice: a later record wins, its NULL fields keep the stored value."""
-    path, live = scratch_path(spark, "upsert"), live_transactions(spark, sf)
+    path = scratch_path(spark, "upsert")
+    for rows in _spend_batches(spark, sf):
+        stores.upsert_by_key(rows, path, ["user_id", "window_start"], "window_start", "_arrival")
+    return stores.read_by_day(spark, path)
+
+
+def _spend_batches(spark, sf):
+    live = live_transactions(spark, sf)
 
     def batch(rows, note: str):
         spend = spend_windows(rows).select("user_id", "window_start", "txn_count", "total_spend")
         return spend.withColumns({"note": F.lit(note), "_arrival": F.lit(1)})
 
-    def store(rows) -> None:
-        stores.upsert_by_key(rows, path, ["user_id", "window_start"], "window_start", "_arrival")
-
-    store(batch(live.where("amount > 20"), "old"))
     newer = batch(live.where("status = 'approved'"), "new")
-    store(newer)
-    store(newer.withColumn("total_spend", F.lit(None).cast("double")))
-    return stores.read_by_day(spark, path)
+    return [batch(live.where("amount > 20"), "old"), newer, newer.withColumn("total_spend", F.lit(None).cast("double"))]
+
+
+@query("s8_versioned_upsert", _UPSERTED)
+def _(spark, sf):
+    """The same in a versioned table: each batch is one step for readers, and what one of them read stays."""
+    held = VersionedTable(spark, scratch_path(spark, "versioned"), "window_start")
+    for rows in _spend_batches(spark, sf):
+        held.upsert(rows, ["user_id", "window_start"], "_arrival")
+    return held.read()
 
 
 @query(
@@ -115,6 +126,24 @@ def _(spark, sf):
     return stores.read_by_day(spark, path)
 
 
+@query(
+    "m2_versioned_table",
+    f"""with {SCORED} select txn_id, "timestamp" from scored
+        where is_anomaly and txn_id in (select txn_id from live where status <> 'declined')
+          and "timestamp" >= {EVENTS_NOW} - interval 20 day + interval 9 hour""",
+)
+def _(spark, sf):
+    """Orphans and old rows leave a versioned table, which is then compacted and rid of its old folders."""
+    held = VersionedTable(spark, scratch_path(spark, "versioned"))
+    rows = raw_anomalies(spark, sf).select("txn_id", "timestamp").withColumn("event_date", F.to_date("timestamp"))
+    held.replace(rows, [r[0].isoformat() for r in rows.select("event_date").distinct().collect()])
+    held.remove_orphans(live_transactions(spark, sf).where("status <> 'declined'"))
+    held.purge(f"{EVENTS_AS_OF} 09:00:00", days=20)
+    held.compact()
+    held.expire()
+    return held.read()
+
+
 @query(
     "m3_table_stats",
     """select 'orders' as table_name, count(*) as row_count, 1 as file_count from orders
