@@ -241,6 +241,16 @@ def test_token_files(spark, docs, no_docs, tmp_path):
     assert token_files.read_tokens(spark, empty).collect() == []
 
 
+def test_long_runs_of_blanks():
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    plain = byte_bpe.encoding(path, pattern)
+    for text in ("a" + " " * 90_000 + "b c", " " * 90_000, "x\n" + "\n\t " * 30_000 + "é", "a " * 10 + "\u3000" * 60_000 + ".", "1" + " " * 60_000 + "\x1c2"):
+        assert byte_bpe.encode_text(text, path, pattern) == plain.encode_ordinary(text)
+    long = "word" + " " * 2_000_000 + "end"
+    ids = byte_bpe.encode_text(long, path, pattern)
+    assert plain.decode_bytes(ids) == long.encode()
+
+
 # ---- 7: near duplicates --------------------------------------------------------------------
 
 

@@ -20,6 +20,9 @@ from tillstream.llm.registry import query, table
 
 #: characters after which a text is cut at the next safe boundary
 PIECE_CHARS = 1 << 16
+#: Runs of white space that the library is not given: its pattern tries them blank by blank, and a long run ends it.
+#: The characters that \\s stands for in the pattern.
+_LONG_BLANKS = re.compile("[ \\t\\n\\x0b\\x0c\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{50000,}")
 #: A letter or digit followed by a blank: no match of the pattern runs from the one into the other,
 #: and what the pattern looks ahead at lies behind the blank.
 _SAFE = re.compile(r"(?<=[^\W_])(?=[ \n])")
@@ -46,9 +49,18 @@ def cut(text: str, size: int = PIECE_CHARS) -> list[str]:
 
 
 def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
-    encoder = encoding(path, pattern)
+    """Ids of a text of any length. A long run of white space is one match of the pattern up to its last
+    character, which goes to what follows, or to its end where the text ends; it is merged as that match."""
+    encoder, text = encoding(path, pattern), text or ""
     ids: list[int] = []
-    for piece in cut(text or ""):
+    low = 0
+    for run in _LONG_BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        for piece in cut(text[low : run.start()]):
+            ids += encoder.encode_ordinary(piece)
+        ids += encoder._encode_single_piece(text[run.start() : end].encode())
+        low = end
+    for piece in cut(text[low:]):
         ids += encoder.encode_ordinary(piece)
     return ids
 
@@ -77,7 +89,8 @@ def decoded(ids: Column | str, path: str, pattern: str) -> Column:
 def tokenize(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Adds `ids` and `n_tokens` to every row and drops nothing; columns of these names are replaced.
 
-    Null texts count as empty and have no ids. Repeated rows stay repeated.
+    Null texts count as empty and have no ids; texts may have any length and any run of white space. Repeated rows
+    stay repeated.
     """
     path, pattern = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     return docs.withColumn("ids", encoded("text", path, pattern)).withColumn("n_tokens", F.size("ids").cast("long"))
