@@ -42,6 +42,8 @@ REGION = 0.3
 HOT, HOT_LIST = 16, 1 << 20
 #: nodes of a tile that are compared within one group, and partners of a node that are verified in one
 BLOCK, PARTNERS = 2048, 4096
+#: pairs of rows whose bitmaps are compared in one step
+AT_ONCE = 1 << 15
 
 
 # ---- sets ----------------------------------------------------------------------------------
@@ -77,8 +79,8 @@ def ratio_band(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def bitmap_bits(band: int, percent: int = PERCENT, each: int = 4) -> int:
-    """Bits of the bitmaps of a band, a power of two: at least `each` for each member. With four, few sets
-    below the similarity pass; with one, what is compared in tiles stays short."""
+    """Bits of the bitmaps of a band, a power of two: at least `each` for each member. With four, hardly a
+    set below the similarity passes; with two, few do, and what is compared in tiles stays short."""
     return max(64, 1 << math.ceil(math.log2(each * (100 / percent) ** min(band, 200))))
 
 
@@ -132,7 +134,7 @@ def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
                 looked = np.where(sizes > 0, prefix_length(sizes, percent), 0)
                 regions = [x[: max(int(np.searchsorted(x, REGION_END)), n)] for x, n in zip(sets, looked.tolist())]
                 bits = [bitmap(x, bitmap_bits(b, percent)) for x, b in zip(sets, bands)]
-                narrow = [folded(x, bitmap_bits(b, percent, 1) // 64) for x, b in zip(bits, bands)]
+                narrow = [folded(x, bitmap_bits(b, percent, 2) // 64) for x, b in zip(bits, bands)]
                 columns = [
                     *(batch.column(c).slice(low, high - low) for c in ("row", "doc_id", "text_hash")),
                     pa.array([_key(x) for x in sets], pa.binary()),
@@ -197,13 +199,15 @@ def prefixes(sets: DataFrame, hot: np.ndarray, level: np.ndarray, percent: int =
     return sets.select("row", "size", "region").mapInArrow(take, "item long, row long, size int, band int")
 
 
-def meeting_rows(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """item, row, size, band and n (the sets that have the item in their region) of all prefix members that
-    several sets have there. Of items with the same rows one stands for all."""
-    counts = stored(sets.select(F.explode("region").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
+def meeting_rows(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """item, row, size, band and n (the rows that have the item in their region) of all prefix members that several
+    nodes have there. Of items with the same rows one stands for all. Copies of a node go here, after the
+    members that nobody else has, so that no sets are moved to tell copies from nodes."""
+    counts = stored(sets.where("size > 0").select(F.explode("region").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
     crowded = counts.where(F.col("n") > HOT).orderBy(F.col("n").desc(), "item").limit(HOT_LIST).toArrow().sort_by("item")
     level = np.floor(np.log2(np.maximum(crowded["n"].to_numpy(), 1))).astype(np.int8)
-    rows = stored(prefixes(sets, crowded["item"].to_numpy(), level, percent).join(counts, "item"), "meetings")
+    rows = prefixes(sets.where("size > 0"), crowded["item"].to_numpy(), level, percent).join(counts, "item")
+    rows = stored(rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi"), "meetings")
     # A passage that the same documents share is many items with the same rows: one of them does.
     same = rows.groupBy("item").agg(F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("y"), F.count(F.lit(1)).alias("z"))
     one = same.where("z > 1").groupBy("x", "y", "z").agg(F.min("item").alias("item"))
@@ -294,55 +298,66 @@ def blocked(rows: DataFrame) -> DataFrame:
 
 def compared(dealt: DataFrame, percent: int = PERCENT, best: bool = False) -> DataFrame:
     """Pairs (a, b) of one group that have different roots and that sizes and bitmaps leave possible; with `best`
-    only the most promising one of each node and each other root."""
+    only the most promising one of each node."""
     keys = ["item", "tile", "i", "j"]
 
-    def pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        group = group.sort_by("size")
-        row, size, root, block = (group[c].to_numpy().astype(np.int64) for c in ("row", "size", "root", "block"))
-        guest = np.array(group["guest"].to_pylist(), dtype=bool)
-        raw = [np.frombuffer(x, "<u8") for x in group["narrow"].to_pylist()]
-        width = min(map(len, raw))
-        bits = np.stack([folded(x, width) for x in raw])
-        across = group["i"][0].as_py() != group["j"][0].as_py()
+    def pairs(group: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        size = np.concatenate([g["size"] for g in group]).astype(np.int64)
+        order = np.argsort(size, kind="stable")
+        size = size[order]
+        row, root, block, guest = (np.concatenate([g[c] for g in group])[order] for c in ("row", "root", "block", "guest"))
+        raw = [x for g in group for x in g["narrow"]]
+        width = min(map(len, raw)) // 8
+        bits = np.stack([folded(np.frombuffer(raw[k], "<u8"), width) for k in order.tolist()])
+        across = group[0]["i"][0] != group[0]["j"][0]
         last = np.searchsorted(size, size * 100 // percent, side="right")
-        a, b = [], []
-        for k in range(len(row) - 1):
-            near = slice(k + 1, last[k])
-            fit = (root[near] != root[k]) & ~(guest[near] & guest[k])
+        n, found = len(row), [np.zeros((3, 0), dtype=np.int64)]
+        step = max(1, AT_ONCE // n)
+        for low in range(0, n, step):
+            # A stripe of rows against all that sort after them.
+            some = np.arange(low, min(low + step, n))
+            i, j = np.repeat(some, n - low), np.tile(np.arange(low, n), len(some))
+            fit = (j > i) & (j < last[i]) & (root[i] != root[j]) & ~(guest[i] & guest[j])
             if across:
-                fit &= block[near] != block[k]
-            at = np.flatnonzero(fit) + k + 1
-            differing = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
-            fit = may_link(size[k], size[at], differing, percent)
-            at, differing = at[fit], differing[fit]
-            if best:
-                at = at[np.argsort(differing, kind="stable")]
-                at = at[np.unique(root[at], return_index=True)[1]]
-            a.append(np.minimum(row[at], row[k]))
-            b.append(np.maximum(row[at], row[k]))
-        return (np.concatenate(a), np.concatenate(b)) if a else (row[:0], row[:0])
+                fit &= block[i] != block[j]
+            i, j = i[fit], j[fit]
+            differing = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
+            fit = may_link(size[i], size[j], differing, percent)
+            found.append(np.stack([i[fit], j[fit], differing[fit]]))
+        i, j, differing = np.concatenate(found, axis=1)
+        if best:
+            # Of each row the partner that differs least.
+            mine, other, d = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([differing, differing])
+            order = np.lexsort((other, d, mine))
+            first = order[np.unique(mine[order], return_index=True)[1]]
+            i, j = mine[first], other[first]
+        return np.minimum(row[i], row[j]), np.maximum(row[i], row[j])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[dict] = []
+        out: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def done() -> pa.RecordBatch:
-            columns = pairs(pa.Table.from_batches(held))
+        def made() -> pa.RecordBatch:
+            columns = [np.concatenate([*x, np.zeros(0, dtype=np.int64)]) for x in (zip(*out) if out else ((), ()))]
+            out.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = [batch.column(c).to_numpy() for c in keys]
-            change = np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1
+            columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in [*keys, "block", "row", "size", "guest", "root"]}
+            columns["narrow"] = batch.column("narrow").to_pylist()
+            change = np.flatnonzero(np.any([columns[c][1:] != columns[c][:-1] for c in keys], axis=0)) + 1
             for low, high in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
-                part = batch.slice(low, high - low)
-                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in keys):
-                    yield done()
-                    held.clear()
+                part = {c: x[low:high] for c, x in columns.items()}
+                if held and any(held[0][c][0] != part[c][0] for c in keys):
+                    out.append(pairs(held))
+                    held = []
                 held.append(part)
+            yield made()
         if held:
-            yield done()
+            out.append(pairs(held))
+            yield made()
 
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
 
@@ -376,26 +391,24 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     sets = stored(shingle_sets(docs, words, percent), "sets")
     keys = sets.where("size > 0").groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     nodes = stored(keys, "nodes")
-    single = sets.where("size > 0").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-
-    meetings = meeting_rows(single, percent)
+    meetings = meeting_rows(sets, nodes, percent)
     popular = meetings.groupBy("row").agg(F.sum("n").alias("popularity"))
     ranked = F.struct("popularity", (-F.col("row")).alias("minus"))
     owned = meetings.join(popular, "row").groupBy("item", F.col("band").alias("tile"))
     centers = stored(owned.agg(F.max_by("row", ranked).alias("center")), "centers")
     placed = tiles(meetings)
     spokes = placed.join(centers, ["item", "tile"]).where("row <> center").select(F.col("center").alias("a"), F.col("row").alias("b")).distinct()
-    first = stored(plausible(spokes, single, percent), "spokes")
-    links = stored(verified(first, single, docs, words, percent), "links")
+    first = stored(plausible(spokes, sets, percent), "spokes")
+    links = stored(verified(first, sets, docs, words, percent), "links")
 
     # Tiles that still hold several components, and more than the center and one partner. The most promising pairs
     # come first: they spare the many others between two nodes' components.
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for best in (True, False):
-        dealt = blocked(_open_rows(placed, centers, components(links))).join(single.select("row", "narrow"), "row")
+        dealt = blocked(_open_rows(placed, centers, components(links))).join(sets.select("row", "narrow"), "row")
         pairs = compared(dealt, percent, best).join(tried, ["a", "b"], "left_anti")
-        pairs = stored(plausible(pairs, single, percent), "pairs")
-        links = links.unionByName(stored(verified(pairs, single, docs, words, percent), "links"))
+        pairs = stored(plausible(pairs, sets, percent), "pairs")
+        links = links.unionByName(stored(verified(pairs, sets, docs, words, percent), "links"))
         tried = tried.unionByName(pairs)
 
     found = nodes.join(components(links).select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
