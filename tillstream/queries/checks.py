@@ -403,11 +403,23 @@ _LAST = _HOUR.format(n=24)
 
 @query(
     "d1_schema_violations",
-    f"""{_HOUR.format(n=1)} select 'merchant_id: pattern' as violation, count(*) as n_rows from recent
-        where not regexp_matches(merchant_id, '^merchant_[0-9]{{4}}$') having count(*) > 0""",
+    f"""{_HOUR.format(n=1)} select violation, count(*) as n_rows from (
+          select unnest([case when currency = 'USD' then 'currency: value' end,
+                         case when payment_method in ('credit_card', 'apple_pay') then 'user_id: pattern' end,
+                         case when amount < 20 then 'amount: below minimum' end,
+                         case when not regexp_matches(merchant_id, '^merchant_[0-9]{{4}}$') then 'merchant_id: pattern' end]) as violation
+          from recent) where violation is not null group by 1""",
 )
 def _(spark, sf):
-    return quality.schema_violations(live_transactions(spark, sf), EVENTS_AS_OF)
+    """Rows that break three rules: a currency nobody knows, users without their prefix, negative amounts."""
+    rows = live_transactions(spark, sf).withColumns(
+        {
+            "currency": F.when(F.col("currency") == "USD", "XXX").otherwise(F.col("currency")),
+            "user_id": F.when(F.col("payment_method").isin("credit_card", "apple_pay"), F.substring("user_id", 6, 9)).otherwise(F.col("user_id")),
+            "amount": F.when(F.col("amount") < 20, -F.col("amount")).otherwise(F.col("amount")),
+        }
+    )
+    return quality.schema_violations(rows, EVENTS_AS_OF)
 
 
 @query(
@@ -461,13 +473,16 @@ def _(spark, sf):
 
 @query(
     "d6_duplicates",
-    f"""with {LIVE}, seen as (select user_id from live where "timestamp" >= {EVENTS_NOW} - interval 24 hour),
-        repeated as (select user_id, count(*) as n from seen group by 1 having count(*) > 1)
-        select count(*) as n_ids, coalesce(sum(n - 1), 0)::bigint as surplus_rows from repeated""",
+    f"""with {LIVE}, seen as (select txn_id, status, merchant_category from live where "timestamp" >= {EVENTS_NOW} - interval 24 hour),
+        times as (select txn_id, 1 + (status <> 'approved')::int + 2 * (merchant_category in ('grocery', 'travel'))::int as n from seen)
+        select count(*) as n_ids, coalesce(sum(n - 1), 0)::bigint as surplus_rows from times where n > 1""",
 )
 def _(spark, sf):
-    """Repeated users of the last day, standing in for repeated ids."""
-    return quality.surplus_rows(quality.duplicate_ids(live_transactions(spark, sf), EVENTS_AS_OF, 24, "user_id"))
+    """The last day with some transactions sent twice, three or four times."""
+    live = live_transactions(spark, sf)
+    trips = live.where(F.col("merchant_category").isin("grocery", "travel"))
+    sent = live.unionAll(live.where("status <> 'approved'")).unionAll(trips).unionAll(trips)
+    return quality.surplus_rows(quality.duplicate_ids(sent, EVENTS_AS_OF, 24))
 
 
 @query(

@@ -11,7 +11,7 @@ from tillstream.queries.rows import staged_history
 from tillstream.schemas import SNAPSHOT_TRANSACTIONS
 from tillstream.session import scratch_path
 from tillstream.sources import stores
-from tillstream.sources.datasets import EVENTS_AS_OF, live_transactions, raw_anomalies
+from tillstream.sources.datasets import EVENTS_AS_OF, live_transactions, raw_anomalies, scored_transactions
 from tillstream.sources.versions import VersionedTable
 from tillstream.streaming.windows import spend_windows
 
@@ -71,15 +71,16 @@ def _(spark, sf):
 
 @query(
     "s11_export_snapshot",
-    f"""with {LIVE} select txn_id, user_id, amount, currency, "timestamp", status, location_lat,
-               cast(null as bigint) as user_txn_count from live where "timestamp" >= {EVENTS_NOW} - interval 10 day""",
+    f"""with {SCORED} select txn_id, user_id, amount, currency, "timestamp", merchant_id, merchant_category, payment_method, status,
+               location_lat, location_lon, user_txn_count, user_running_mean, z_score, is_anomaly
+        from scored where "timestamp" >= {EVENTS_NOW} - interval 10 day""",
 )
 def _(spark, sf):
+    """All columns of the snapshot of scored transactions."""
     path = scratch_path(spark, "snapshot")
-    stores.export_snapshot(live_transactions(spark, sf), SNAPSHOT_TRANSACTIONS, path, EVENTS_AS_OF, lookback_days=10)
+    stores.export_snapshot(scored_transactions(spark, sf), SNAPSHOT_TRANSACTIONS, path, EVENTS_AS_OF, lookback_days=10)
     stored = spark.read.schema(SNAPSHOT_TRANSACTIONS).parquet(path)
-    ts = F.col("timestamp").cast("timestamp_ntz").alias("timestamp")
-    return stored.select("txn_id", "user_id", "amount", "currency", ts, "status", "location_lat", "user_txn_count")
+    return stored.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 @query(

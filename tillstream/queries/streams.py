@@ -47,11 +47,11 @@ def _stored(spark, path, *columns):
     return rows.withColumns(ntz).select(*columns) if columns else rows.withColumns(ntz)
 
 
-@query("s1_stream_source", "select event_id, ts, user_id, event_type, value from events")
+@query("s1_stream_source", "select event_id, ts, user_id, event_type, value, props from events")
 def _(spark, sf):
     path, checkpoint = scratch_path(spark, "source"), scratch_path(spark, "checkpoint")
     jobs.write_batches(event_feed(spark, sf), path, checkpoint).awaitTermination()
-    return _stored(spark, path, "event_id", "ts", "user_id", "event_type", "value")
+    return _stored(spark, path, "event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 _SCORED_COLUMNS = ["txn_id", "user_id", "amount", "timestamp", "user_txn_count", "user_running_mean", "z_score", "is_anomaly"]
