@@ -10,6 +10,7 @@ import base64
 import functools
 import re
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.registry import query, table
+from tillstream.llm.words import give_back
 
 #: characters after which a text is cut at the next safe boundary
 PIECE_CHARS = 1 << 16
@@ -70,7 +72,11 @@ def encoded(text: Column | str, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        return pa.array([encode_text(t.as_py(), path, pattern) for t in texts], type=pa.list_(pa.int32()))
+        # A list of Python numbers takes nine times the bytes of the ids, so only one text's is held.
+        lists = [np.array(encode_text(t.as_py(), path, pattern), dtype=np.int32) for t in texts]
+        ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+        give_back()
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*lists, np.zeros(0, dtype=np.int32)])))
 
     return encode(text)
 

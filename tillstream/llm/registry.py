@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillstream.session import apply_settings, scratch_path
 
 #: bytes of an Arrow batch that goes to a Python worker; several such batches and what is made of them are held at once
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -35,6 +36,23 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+@functools.cache
+def _trim():
+    """The C library's call that gives freed memory back, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
+def give_back() -> None:
+    """Give freed memory back to the system: a worker that has been through large arrays waits for its next stage
+    beside others, and what it keeps they lack."""
+    pa.default_memory_pool().release_unused()
+    if _trim() is not None:
+        _trim()(0)
+
+
 def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts have at most `limit` bytes together and at most `rows` rows, or one row."""
     low, n = 0, len(offsets) - 1
@@ -43,6 +61,7 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES, rows: int | None = Non
         high = min(max(high, low + 1), n, n if rows is None else low + rows)
         yield low, high
         low = high
+    give_back()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
