@@ -21,12 +21,18 @@ from tillstream.session import pinned
 
 #: rows one task may take in a single sorted group before the sliced form is used
 HOT_ROWS = 20_000_000
+#: bounds of the number of slices, for any size of a hot group
+SLICE_ROWS, SLICES_PER_PARTITION = 1_000_000, 4
 
 
 def slices_for(spark: SparkSession, rows: int, hot_rows: int) -> int:
-    """Enough slices that each holds about `hot_rows` at most, and never fewer than the shuffle uses."""
+    """Enough slices that each holds about `hot_rows` at most, and never fewer than the shuffle uses. Small
+    `hot_rows` make no more than `SLICES_PER_PARTITION` slices a shuffle partition as long as these hold at most
+    `SLICE_ROWS` rows: every task reports to the driver, and range bounds are sampled for every slice."""
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(usual, -(-rows // hot_rows) if hot_rows else usual)
+    if not hot_rows:
+        return usual
+    return max(usual, min(-(-rows // hot_rows), max(SLICES_PER_PARTITION * usual, -(-rows // SLICE_ROWS))))
 
 
 def sorted_slices(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
