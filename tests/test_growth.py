@@ -1,7 +1,12 @@
 """What may not grow with the input: slices, state calls, rows of a task."""
 
+import datetime as dt
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from tillstream.operators import ordered
+from tillstream.sources import datasets
 
 
 def test_slices_are_bounded_for_small_hot_rows(spark):
@@ -10,3 +15,25 @@ def test_slices_are_bounded_for_small_hot_rows(spark):
     assert ordered.slices_for(spark, 3_000_000, 500) == ordered.SLICES_PER_PARTITION * usual
     assert ordered.slices_for(spark, 60_000_000, 500) == 60
     assert ordered.slices_for(spark, 60_000_000, 20_000_000) == usual
+
+
+def events_file(path, n=40):
+    start = dt.datetime(2024, 1, 1)
+    rows = {
+        "event_id": list(range(n)),
+        "ts": [start + dt.timedelta(hours=17 * i) for i in range(n)],
+        "user_id": [i % 5 for i in range(n)],
+        "event_type": ["view"] * n,
+        "value": [float(i) for i in range(n)],
+        "props": ['{"k": 3}'] * n,
+    }
+    pq.write_table(pa.table(rows), path / "events.parquet")
+    return str(path)
+
+
+def test_a_larger_file_goes_to_more_partitions(spark, tmp_path, monkeypatch):
+    sf = events_file(tmp_path)
+    cores = spark.sparkContext.defaultParallelism
+    assert datasets.live_transactions(spark, sf).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(datasets, "file_bytes", lambda *_: 1 << 30, raising=False)
+    assert datasets.live_transactions(spark, sf).rdd.getNumPartitions() > 4 * cores

@@ -69,6 +69,11 @@ def is_single_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(at) and fs.getFileStatus(at).isFile()
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    fs, at = file_system(spark, path)
+    return fs.getFileStatus(at).getLen()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster shares (`spark.checkpoint.dir`).
 

@@ -13,12 +13,15 @@ from tillstream.functions.money import cents
 from tillstream.functions.scalars import hashed_id
 from tillstream.operators.running import running_zscore
 from tillstream.schemas import CURRENCIES, MERCHANT_CATEGORIES, PAYMENT_METHODS, STATUSES
-from tillstream.session import is_single_file
+from tillstream.session import file_bytes, is_single_file
 
 #: "now" for each dataset, just after its last row
 EVENTS_AS_OF = "2024-01-31"
 HISTORY_AS_OF = "2001-11-05"
 
+#: bytes of a Parquet file whose rows go to one partition
+SPREAD_BYTES = 8 << 20
+
 #: settles equal times of one id in the history
 HISTORY_TIEBREAK = ("amount", "user_id", "merchant_id", "payment_method", "location_lat", "location_lon", "status")
 
@@ -29,10 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, path: str, *columns: str) -> DataFrame:
     """A table that is one single file is read by few tasks (one per row group); hash its rows over
-    all cores before the per-row work. Tables of many files are left as they are."""
+    all cores before the per-row work, and over more partitions the larger the file is: what a task sorts or
+    holds stays the same. Tables of many files are left as they are."""
     spark = df.sparkSession
     if is_single_file(spark, path):
-        return df.repartition(spark.sparkContext.defaultParallelism, *columns)
+        parts = -(-file_bytes(spark, path) // SPREAD_BYTES)
+        return df.repartition(max(spark.sparkContext.defaultParallelism, parts), *columns)
     return df
 
 
