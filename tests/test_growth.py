@@ -1,12 +1,15 @@
 """What may not grow with the input: slices, state calls, rows of a task."""
 
 import datetime as dt
+import json
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from test_streaming import txn
 
 from tillstream.operators import ordered
-from tillstream.sources import datasets
+from tillstream.queries import streams
+from tillstream.sources import codecs, datasets
 
 
 def test_slices_are_bounded_for_small_hot_rows(spark):
@@ -37,3 +40,18 @@ def test_a_larger_file_goes_to_more_partitions(spark, tmp_path, monkeypatch):
     assert datasets.live_transactions(spark, sf).rdd.getNumPartitions() == cores
     monkeypatch.setattr(datasets, "file_bytes", lambda *_: 1 << 30, raising=False)
     assert datasets.live_transactions(spark, sf).rdd.getNumPartitions() > 4 * cores
+
+
+def test_slices_of_one_file_are_made_by_all_cores(spark, tmp_path):
+    made = streams.arrivals(spark, events_file(tmp_path))
+    assert made.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert {r[0] for r in made.select("arrival").distinct().collect()} == {0, 1, 2}
+
+
+def test_a_text_is_parsed_once_for_both_sides(spark, rows):
+    good = [json.dumps(txn(i, "u" if i else None, i * 60, 5.0)) for i in range(4)]
+    texts = spark.createDataFrame([(t,) for t in [*good, "not json", "", None]], "value string")
+    read = codecs.read_transactions(texts)
+    usable, bad = codecs.parse_transactions(texts, keep_text=True)
+    assert rows(read.where("usable").drop("usable")) == rows(usable)
+    assert rows(read.where("not usable"), "value") == rows(bad)

@@ -142,6 +142,8 @@ def _(spark, sf):
 
 #: days at which a slice of the events ends
 _SLICE_ENDS = ("2024-01-11", "2024-01-21")
+#: a slice is one micro-batch, however large
+_SLICE_BYTES = 1 << 60
 
 #: the events in three slices: one in 50 arrives a slice late, one in 97 with its time in milliseconds
 SLICED = LIVE.replace("as location_lon\n", "as location_lon, event_id\n") + f""", cut as (
@@ -176,7 +178,8 @@ SLICED = LIVE.replace("as location_lon\n", "as location_lon, event_id\n") + f"""
 
 def arrivals(spark, sf):
     """value (the JSON text of an event) and arrival (the slice it comes with)."""
-    events = table(spark, sf, "events").select("*", F.col("ts").alias("timestamp"))
+    events = spread(table(spark, sf, "events"), f"{sf}/events.parquet", "event_id")
+    events = events.select("*", F.col("ts").alias("timestamp"))
     ends = [F.lit(day).cast("timestamp_ntz") for day in _SLICE_ENDS]
     part = F.when(F.col("ts") < ends[0], 0).when(F.col("ts") < ends[1], 1).otherwise(2)
     arrival = F.when(F.col("event_id") % 50 == 0, F.least(part + 1, F.lit(2))).otherwise(part)
@@ -194,13 +197,16 @@ def run_slices(spark, sf, after_slice=None) -> str:
     follows it. Returns the folder of the gate."""
     root = scratch_path(spark, "slices")
     texts = arrivals(spark, sf)
+    # Made in one pass over the events; each slice is then copied when it is due.
+    texts.write.partitionBy("arrival").parquet(f"{root}/arrivals")
+    texts = spark.read.schema(texts.schema).parquet(f"{root}/arrivals")
     for number in range(len(_SLICE_ENDS) + 1):
         texts.where(F.col("arrival") == number).select("value").write.mode("append").text(f"{root}/feed")
-        feed = feeds.text_feed(spark, f"{root}/feed")
+        feed = feeds.text_feed(spark, f"{root}/feed", max_bytes=_SLICE_BYTES)
         gate.clean_transactions(feed, f"{root}/gate", f"{root}/gate-checkpoint").awaitTermination()
         if after_slice:
             schema = spark.read.parquet(f"{root}/gate/clean").drop(gate.BATCH).schema
-            after_slice(feeds.parquet_feed(spark, f"{root}/gate/clean", schema), root, number)
+            after_slice(feeds.parquet_feed(spark, f"{root}/gate/clean", schema, max_bytes=_SLICE_BYTES), root, number)
     return root
 
 

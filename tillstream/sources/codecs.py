@@ -38,12 +38,22 @@ def parse_transactions(df: DataFrame, column: str = "value", keep_text: bool = F
     """(transactions with a typed event time, quarantined texts). A record needs a user. `keep_text` leaves the
     text in a last column of the transactions."""
     decoded = decode_json(df, TRANSACTION_JSON, column)
-    fields = [
+    fields = _transaction_fields() + ([F.col(column)] if keep_text else [])
+    return _split(decoded, F.col("record.user_id").isNotNull(), fields, column)
+
+
+def _transaction_fields() -> list[Column]:
+    return [
         (event_time("record.timestamp") if f.name == "timestamp" else F.col(f"record.{f.name}")).alias(f.name)
         for f in TRANSACTION_JSON.fields
     ]
-    fields += [F.col(column)] if keep_text else []
-    return _split(decoded, F.col("record.user_id").isNotNull(), fields, column)
+
+
+def read_transactions(df: DataFrame, column: str = "value") -> DataFrame:
+    """Every text with its fields and `usable`, for callers that use both sides of `parse_transactions` and keep
+    the result, so that each text is parsed once."""
+    usable = F.col(_CORRUPT).isNull() & F.coalesce(F.col("record.user_id").isNotNull(), F.lit(False))
+    return decode_json(df, TRANSACTION_JSON, column).select(*_transaction_fields(), F.col(column), usable.alias("usable"))
 
 
 def decode_enriched(df: DataFrame, column: str = "value", keep_text: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -122,9 +122,9 @@ def clean_transactions(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()  # read once for all outputs; lost blocks are read from the source again
-        rows, unreadable = codecs.parse_transactions(batch.select("value"), keep_text=True)
-        rows = rows.withColumn("time_us", F.unix_micros("timestamp"))
+        # Parsed once for all outputs; lost blocks are read from the source again.
+        texts = codecs.read_transactions(batch.select("value")).withColumn("time_us", F.unix_micros("timestamp")).persist()
+        rows, unreadable = texts.where("usable").drop("usable"), texts.where("not usable").select("value")
         received = _received(spark, rows.select("time_us"), f"{root}/times", batch_id)
         before = highest_time(spark, root, batch_id - 1)
         latest = latest_possible(received, factor, floor_seconds)
@@ -141,7 +141,7 @@ def clean_transactions(
         write_once(high.coalesce(1), f"{root}/high", batch_id)
         # Last: a reader that sees the clean rows finds all the rest in place.
         write_once(clean, f"{root}/clean", batch_id)
-        batch.unpersist()
+        texts.unpersist()
 
     writer = text.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
