@@ -5,11 +5,14 @@ import json
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from test_streaming import txn
+from pyspark.sql import functions as F
+from test_streaming import SCORES, feed_file, txn
 
 from tillstream.operators import ordered
+from tillstream.operators.running import running_zscore
 from tillstream.queries import streams
 from tillstream.sources import codecs, datasets
+from tillstream.streaming import feeds, jobs, recovery, scoring
 
 
 def test_slices_are_bounded_for_small_hot_rows(spark):
@@ -55,3 +58,20 @@ def test_a_text_is_parsed_once_for_both_sides(spark, rows):
     usable, bad = codecs.parse_transactions(texts, keep_text=True)
     assert rows(read.where("usable").drop("usable")) == rows(usable)
     assert rows(read.where("not usable"), "value") == rows(bad)
+
+
+def test_calls_of_the_state_function_are_bounded(spark, tmp_path, rows, monkeypatch):
+    """Many users, few groups: every user keeps moments of their own, over micro-batches and a restart."""
+    monkeypatch.setattr(scoring, "BUCKETS", 4, raising=False)
+    records = [txn(i, f"user_{i * 7 % 60:06d}", (i // 2) * 900, 5.0 + i % 13) for i in range(360)]
+    source, paths = tmp_path / "in", [str(tmp_path / n) for n in ("e", "a", "c")]
+    for number in range(3):
+        feed_file(source, number, records[number * 120 : (number + 1) * 120])
+        jobs.score_transactions(feeds.text_feed(spark, str(source), max_files=1), *paths).awaitTermination()
+    text = spark.createDataFrame([(json.dumps(r),) for r in records], "value string")
+    batch = codecs.parse_transactions(text)[0]
+    assert rows(spark.read.parquet(paths[0]), *SCORES) == rows(running_zscore(batch), *SCORES)
+    assert spark.read.format("statestore").load(paths[2]).count() <= 4
+    held = recovery.stored_moments(spark, paths[2]).select("user_id", "n", F.round("mean", 6).alias("mean"))
+    want = batch.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.avg("amount"), 6).alias("mean"))
+    assert rows(held) == rows(want)

@@ -12,6 +12,7 @@ def stored_moments(spark: SparkSession, checkpoint: str, batch_id: int | None =
     reader = spark.read.format("statestore").option("operatorId", operator_id)
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    held = reader.load(checkpoint)
-    state = F.col("value.groupState")
-    return held.select(F.col("key.user_id").alias("user_id"), state["n"].alias("n"), state["mean"].alias("mean"), state["m2"].alias("m2"))
+    held = reader.load(checkpoint).select("value.groupState.*")
+    fields = [F.col(c) for c in ("keys", "n", "mean", "m2")]
+    each = held.select(F.inline(F.arrays_zip(*fields)))
+    return each.withColumnRenamed("keys", "user_id")
