@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import threading
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,6 +11,7 @@ from test_streaming import SCORES, feed_file, txn
 
 from tillstream.operators import ordered
 from tillstream.operators.running import running_zscore
+from tillstream.plans import build, staging
 from tillstream.queries import streams
 from tillstream.sources import codecs, datasets
 from tillstream.streaming import feeds, jobs, recovery, scoring
@@ -75,3 +77,54 @@ def test_calls_of_the_state_function_are_bounded(spark, tmp_path, rows, monkeypa
     held = recovery.stored_moments(spark, paths[2]).select("user_id", "n", F.round("mean", 6).alias("mean"))
     want = batch.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.avg("amount"), 6).alias("mean"))
     assert rows(held) == rows(want)
+
+
+def items_file(path, n=60):
+    """Every id three times, on later and later days; one time the last two are equal but for the price."""
+    day = dt.datetime(1999, 5, 1)
+    rows = {
+        "l_orderkey": [i // 6 for i in range(n)],
+        "l_partkey": [7] * n,
+        "l_suppkey": [3] * n,
+        "l_linenumber": pa.array([i % 2 for i in range(n)], pa.int32()),
+        "l_quantity": [2.0] * n,
+        "l_extendedprice": [10.0 + i for i in range(n)],
+        "l_discount": [0.05] * n,
+        "l_tax": [0.01] * n,
+        "l_returnflag": ["N"] * n,
+        "l_linestatus": ["F"] * n,
+        "l_shipdate": [day + dt.timedelta(days=0 if i < 6 else i) for i in range(n)],
+    }
+    pq.write_table(pa.table(rows), path / "lineitem.parquet")
+    return str(path)
+
+
+def test_history_is_shuffled_once_for_its_latest_rows(spark, tmp_path, rows):
+    raw = datasets.raw_history(spark, items_file(tmp_path))
+    latest = staging.stg_transactions(raw, datasets.HISTORY_TIEBREAK)
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    assert plan.count("Sort ") == 1
+    want = [(f"{i // 6}-{i % 2}", 10.0 + i) for i in range(60) if i % 6 >= 4]
+    assert rows(latest, "txn_id", "amount") == sorted(want, key=repr)
+
+
+def test_models_that_do_not_read_each_other_are_written_together(spark, tmp_path, monkeypatch):
+    """Each write waits until all of its group have begun."""
+    groups = [{"stg_transactions", "stg_anomalies"}, {"fct_daily_revenue", "dim_merchants", "fct_merchant_rollup", "fct_anomaly_summary"}]
+    meet = {name: barrier for g in groups for barrier in [threading.Barrier(len(g))] for name in g}
+    write = build.materialize
+
+    def met(df, name, path):
+        meet[name].wait(timeout=60)
+        return write(df, name, path)
+
+    monkeypatch.setattr(build, "materialize", met)
+    raw = datasets.raw_history(spark, items_file(tmp_path))
+    flagged = raw.where("txn_id < '3'")
+    models = build.build_models(raw, flagged, str(tmp_path / "models"), datasets.HISTORY_AS_OF, datasets.HISTORY_TIEBREAK)
+    assert set(models) == set(build.NOT_NULL)
+    assert models["stg_transactions"].count() == 20 and models["stg_anomalies"].count() == 6
+    assert spark.table("dim_merchants").first()["lifetime_txn_count"] == 20
+    results = build.check_models(models).collect()
+    assert len(results) == 24 and {r["status"] for r in results} == {"pass"}

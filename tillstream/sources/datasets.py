@@ -94,9 +94,10 @@ def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_linestatus") == "F", STATUSES[1])
         .otherwise(STATUSES[2])
     )
-    items = table(spark, sf_dir, "lineitem")
-    return spread(items, f"{sf_dir}/lineitem.parquet", "l_orderkey", "l_linenumber").select(
-        F.concat_ws("-", order, line).alias("txn_id"),
+    items = table(spark, sf_dir, "lineitem").withColumn("txn_id", F.concat_ws("-", order, line))
+    # Dealt by the id itself, rows need no second shuffle and sort when they are de-duplicated by it.
+    return spread(items, f"{sf_dir}/lineitem.parquet", "txn_id").select(
+        "txn_id",
         _padded("user_", part, 6).alias("user_id"),
         F.col("l_extendedprice").alias("amount"),
         _pick(CURRENCIES, line).alias("currency"),
